@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from ..functions.arithmetic import col
+from ..functions.arithmetic import quote
 from ..operators.project import columns_by_type
 
 
@@ -21,11 +20,11 @@ def settle(df: DataFrame, keep: Sequence[str] = ("SK_ID_CURR",)) -> DataFrame:
     """
     numeric = set(columns_by_type(df, "numeric")) - set(keep)
 
-    def rounded(c: str) -> Column:
-        value = col(c).cast("double")
-        return F.when(F.abs(value) < F.lit(1e-9), F.lit(0.0)).otherwise(value.cast("float").cast("double")).alias(c)
+    def rounded(c: str) -> str:
+        value = f"CAST({quote(c)} AS DOUBLE)"
+        return f"CASE WHEN abs({value}) < 1e-9D THEN 0D ELSE CAST(CAST({value} AS FLOAT) AS DOUBLE) END"
 
-    return df.select(*[rounded(c) if c in numeric else col(c) for c in df.columns])
+    return df.selectExpr(*[rounded(c) if c in numeric else quote(c) for c in df.columns]).toDF(*df.columns)
 
 
 def quoted(name: str) -> str:

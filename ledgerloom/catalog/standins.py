@@ -138,7 +138,7 @@ SELECT
        ELSE {days:o_orderdate} + 25e1 END AS DAYS_LAST_DUE,
   CASE WHEN o_orderpriority = '2-HIGH' THEN 365243e0 ELSE {days:o_orderdate} + 27e1 END AS DAYS_TERMINATION,
   CASE WHEN o_totalprice > 45e4 THEN 0e0 WHEN o_orderpriority <> '2-HIGH' THEN floor(o_totalprice / 1e4) END AS CNT_PAYMENT,
-  CAST(floor(o_totalprice / 1e2) AS INTEGER) AS SELLERPLACE_AREA,
+  CAST(floor(o_totalprice / 1e3) AS INTEGER) AS SELLERPLACE_AREA,
   CASE WHEN o_totalprice < 4e4 THEN 0 ELSE 1 END AS NFLAG_LAST_APPL_IN_DAY,
   CASE WHEN o_orderstatus = 'F' THEN 1e0 WHEN o_orderstatus = 'O' THEN 0e0 END AS NFLAG_INSURED_ON_APPROVAL,
   CASE WHEN o_orderpriority = '1-URGENT' THEN 'Consumer loans' WHEN o_orderpriority = '2-HIGH' THEN 'Revolving loans'

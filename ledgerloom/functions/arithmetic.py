@@ -12,9 +12,22 @@ ColumnLike = Column | str
 _INF = float("inf")
 
 
+def quote(name: str) -> str:
+    """A column name as SQL text; dots and spaces are safe."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_literal(value) -> str:
+    """A text, number or boolean as a SQL literal."""
+    if isinstance(value, str):
+        escaped = value.replace(chr(92), chr(92) * 2).replace("'", chr(92) + "'")
+        return f"'{escaped}'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
+
+
 def col(c: ColumnLike) -> Column:
-    """A column by name; the name is quoted, so dots and spaces are safe."""
-    return c if isinstance(c, Column) else F.col("`" + c.replace("`", "``") + "`")
+    """A column by name, quoted."""
+    return c if isinstance(c, Column) else F.col(quote(c))
 
 
 def safe_div(a: ColumnLike, b: ColumnLike, on_zero: str = "null") -> Column:

@@ -1,7 +1,7 @@
 from .aggregate import (
     Shares,
     Subset,
-    agg_expr,
+    agg_text,
     argmax_row,
     count_nonzero,
     every_column,

@@ -3,67 +3,58 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import nan_to_null, safe_div
-from ..functions.arithmetic import col
+from ..functions.arithmetic import col, quote, sql_literal
 from .ranking import group_quantiles
 
 Spec = Mapping[str, Sequence[str]]
 
 
 # Squared deviations summing to less than this are rounding noise (fixed value).
-_NO_SPREAD = 1e-14
-
-
-def skew_adjusted(c: Column) -> Column:
-    """Bias-adjusted skewness: null under three values, 0 for a constant group."""
-    n = F.count(c).cast("double")
-    adjusted = F.skewness(c) * safe_div(F.sqrt(n * (n - 1)), n - 2)
-    constant = F.var_pop(c) * n < F.lit(_NO_SPREAD)
-    return F.when(n < 3, F.lit(None).cast("double")).when(constant, F.lit(0.0)).otherwise(adjusted)
-
-
-def _sum(c: Column) -> Column:
-    total = F.sum(c)
-    return F.coalesce(F.when(~F.isnan(total), total), F.when(total.isNull(), F.lit(0)))
-
-
-# A sum over nothing is 0, a spread over one value is null, and infinities that
-# cancel give null: the rules of dataframe libraries.
-_FUNCTIONS = {
-    "min": F.min,
-    "max": F.max,
-    "mean": lambda c: nan_to_null(F.avg(c)),
-    "sum": _sum,
-    "var": lambda c: nan_to_null(F.var_samp(c)),
-    "std": lambda c: nan_to_null(F.stddev_samp(c)),
-    "skew": skew_adjusted,
-    "count": F.count,
-    "nunique": F.count_distinct,
-    "all": lambda c: F.coalesce(F.bool_and(c.cast("double") != 0), F.lit(True)),
+_NO_SPREAD = "1e-14D"
+
+# A sum over nothing is 0, a spread over one value is null, skewness is
+# bias-adjusted and 0 for a constant group, and infinities that cancel give
+# null: the rules of dataframe libraries.  {c} is the column and {f} an optional
+# filter clause.
+_TEMPLATES = {
+    "min": "min({c}){f}",
+    "max": "max({c}){f}",
+    "mean": "nanvl(avg({c}){f}, CAST(NULL AS DOUBLE))",
+    "sum": "coalesce(sum({c}){f}, 0)",
+    "sum of floating": "CASE WHEN sum({c}){f} IS NULL THEN 0D WHEN NOT isnan(sum({c}){f}) THEN sum({c}){f} END",
+    "var": "nanvl(var_samp({c}){f}, CAST(NULL AS DOUBLE))",
+    "std": "nanvl(stddev_samp({c}){f}, CAST(NULL AS DOUBLE))",
+    "skew": (
+        "CASE WHEN count({c}){f} < 3 THEN NULL WHEN var_pop({c}){f} * count({c}){f} < " + _NO_SPREAD + " THEN 0D "
+        "ELSE skewness({c}){f} * sqrt(count({c}){f} * (count({c}){f} - 1D)) / nullif(count({c}){f} - 2, 0) END"
+    ),
+    "count": "count({c}){f}",
+    "size": "count(1){f}",
+    "nunique": "count(DISTINCT {c}){f}",
+    "all": "coalesce(bool_and({c} <> 0){f}, true)",
 }
 _ZERO_WHEN_EMPTY = {"sum", "count", "size", "nunique", "all"}
 
 
-def agg_expr(function: str, c: Column, where: Column | None = None) -> Column:
-    """One aggregate.
+def agg_text(function: str, column: str, where: str | None = None, floating: bool = False) -> str:
+    """SQL text of one aggregate.
 
-    With ``where`` only matching rows count, and a group without any gives
-    null, as it would after filtering, aggregating and left-joining back.
+    Feature lists run to hundreds of columns; one parsed text per column is far
+    cheaper to build than a tree of calls.  With ``where`` only matching rows
+    count, and a group without any gives null, as it would after filtering,
+    aggregating and left-joining back.
     """
-    if function == "size":
-        out = F.count(F.lit(1)) if where is None else F.count_if(where)
-    elif function == "median":
-        raise ValueError("a median is exact and distributed; request it through summarize()")
-    else:
-        out = _FUNCTIONS[function](c if where is None else F.when(where, c))
+    f = "" if where is None else f" FILTER (WHERE {where})"
+    template = _TEMPLATES["sum of floating" if function == "sum" and floating else function]
+    text = template.format(c=quote(column), f=f)
     if where is not None and function in _ZERO_WHEN_EMPTY:
-        out = F.when(F.count_if(where) > 0, out)
-    return out
+        text = f"CASE WHEN count_if({where}) > 0 THEN {text} END"
+    return text
 
 
 @dataclass(frozen=True)
@@ -84,36 +75,34 @@ class Shares:
 
     values: Mapping[str, Sequence]
     functions: Sequence[str] = ("mean",)
-    overrides: Spec = field(default_factory=dict)
 
 
 def indicator_name(column: str, value) -> str:
     return f"{column}_{'nan' if value is None else value}"
 
 
-def indicator(column: str, value) -> Column:
-    """The condition behind one category indicator."""
-    return col(column).isNull() if value is None else col(column) == F.lit(value)
+def indicator(column: str, value) -> str:
+    """The condition behind one category indicator, never null."""
+    return f"{quote(column)} IS NULL" if value is None else f"{quote(column)} <=> {sql_literal(value)}"
 
 
-def _share_expr(function: str, condition: Column) -> Column:
-    hits = F.count_if(condition)
+def _share_text(function: str, condition: str) -> str:
     if function == "sum":
-        return hits
+        return f"count_if({condition})"
     if function == "mean":
-        return hits / F.count(F.lit(1))
-    present = F.coalesce(condition, F.lit(False)).cast("int")
-    return _FUNCTIONS[function](present)
+        return f"count_if({condition}) / count(1)"
+    return _TEMPLATES[function].format(c=f"CAST({condition} AS INT)", f="")
 
 
 def share_exprs(shares: Shares, prefix: str = "") -> dict[str, Column]:
-    out = {}
-    for column, values in shares.values.items():
-        for value in values:
-            for function in shares.overrides.get(column, shares.functions):
-                name = f"{prefix}{indicator_name(column, value)}_{function.upper()}"
-                out[name] = _share_expr(function, indicator(column, value))
-    return out
+    return {
+        f"{prefix}{indicator_name(column, value)}_{function.upper()}": F.expr(
+            _share_text(function, indicator(column, value))
+        )
+        for column, values in shares.values.items()
+        for value in values
+        for function in shares.functions
+    }
 
 
 def summarize(
@@ -136,27 +125,33 @@ def summarize(
     kept = df
     for key in keys:
         kept = kept.where(F.col(key).isNotNull())
+    flags = [f"__subset{i}" for i in range(len(subsets))]
+    if subsets:
+        kept = kept.withColumns(
+            {name: F.coalesce(s.where, F.lit(False)) for name, s in zip(flags, subsets, strict=True)}
+        )
 
+    floating = {f.name for f in df.schema.fields if f.dataType.typeName() in ("float", "double")}
     exprs: dict[str, Column] = {}
-    medians: list[tuple[str, str, Column | None]] = []
+    medians: list[tuple[str, str, str | None]] = []
 
-    def add(prefix: str, spec: Spec, where: Column | None) -> None:
+    def add(prefix: str, spec: Spec, where: str | None) -> None:
         for column, functions in spec.items():
             for function in functions:
                 name = f"{prefix}{column}_{function.upper()}"
                 if function == "median":
                     medians.append((name, column, where))
                 else:
-                    exprs[name] = agg_expr(function, col(column), where)
+                    exprs[name] = F.expr(agg_text(function, column, where, column in floating))
 
     add(prefix, spec, None)
     if shares is not None:
         exprs |= share_exprs(shares, prefix)
-    for subset in subsets:
-        add(subset.prefix, subset.spec, subset.where)
+    for flag_name, subset in zip(flags, subsets, strict=True):
+        add(subset.prefix, subset.spec, flag_name)
     exprs |= dict(extra or {})
 
-    out = kept.groupBy(*keys).agg(*[e.alias(name) for name, e in exprs.items()])
+    out = kept.groupBy(*keys).agg(*exprs.values()).toDF(*keys, *exprs)
     for name, column, where in medians:
         rows = kept if where is None else kept.where(where)
         values = rows.select(*keys, col(column).alias("__value"))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.arithmetic import col
+from ..functions.arithmetic import col, quote
 from .aggregate import indicator, indicator_name
 from .lookup import HOT_ROWS, lookup_join
 from .ranking import positions
@@ -71,13 +71,10 @@ def learn_categories(
 
 def one_hot(df: DataFrame, categories: Mapping[str, Sequence]) -> tuple[DataFrame, list[str]]:
     """Replace columns by 0/1 indicators; returns the frame and the new names."""
-    new = {
-        indicator_name(c, v): F.coalesce(indicator(c, v), F.lit(False)).cast("int")
-        for c, values in categories.items()
-        for v in values
-    }
-    kept = [col(c) for c in df.columns if c not in categories]
-    return df.select(*kept, *[e.alias(name) for name, e in new.items()]), list(new)
+    new = {indicator_name(c, v): indicator(c, v) for c, values in categories.items() for v in values}
+    kept = [c for c in df.columns if c not in categories]
+    encoded = df.selectExpr(*[quote(c) for c in kept], *[f"CAST({condition} AS INT)" for condition in new.values()])
+    return encoded.toDF(*kept, *new), list(new)
 
 
 def one_hot_encoder(

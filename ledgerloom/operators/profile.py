@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.arithmetic import col
+from ..functions.arithmetic import col, quote
 from .project import columns_by_type
 from .ranking import column_quantiles
 
@@ -21,7 +21,8 @@ _TRACKED = 4096
 
 def null_shares(df: DataFrame) -> DataFrame:
     """Share of nulls per column, as one row."""
-    return df.agg(*[F.avg(col(c).isNull().cast("int")).alias(c) for c in df.columns])
+    shares = df.selectExpr(*[f"count_if({quote(c)} IS NULL) / nullif(count(1), 0)" for c in df.columns])
+    return shares.toDF(*df.columns)
 
 
 def value_frequencies(df: DataFrame, column: str, out: str = "n") -> DataFrame:
@@ -120,8 +121,8 @@ def column_correlations(df: DataFrame, columns: Sequence[str] | None = None) ->
     """
     columns = columns_by_type(df, "numeric") if columns is None else list(columns)
     width = len(columns)
-    numbers = df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    means = numbers.agg(*[F.avg(c).alias(c) for c in numbers.columns]).first()
+    numbers = df.selectExpr(*[f"CAST({quote(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(columns)])
+    means = numbers.selectExpr(*[f"avg({c})" for c in numbers.columns]).first()
     centre = np.array([0.0 if m is None else m for m in means])
     lower = np.tril_indices(width, -1)
 
@@ -171,7 +172,7 @@ def low_variance_columns(df: DataFrame, limit: float = 0.1, columns: Sequence[st
     columns = columns_by_type(df, "numeric") if columns is None else list(columns)
     if not columns:
         return []
-    spread = df.agg(*[F.stddev_samp(col(c)).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    spread = df.selectExpr(*[f"stddev_samp({quote(c)})" for c in columns]).first()
     return [c for c, s in zip(columns, spread, strict=True) if s is not None and s < limit]
 
 
@@ -201,13 +202,13 @@ _FLOAT_BOUND = 3.4028234663852886e38
 def narrow_types(df: DataFrame) -> DataFrame:
     """Cast numeric columns to the smallest type whose bounds lie strictly outside the data."""
     columns = columns_by_type(df, "numeric")
-    spans = df.agg(
-        *[f(col(c)).alias(f"{name}{i}") for i, c in enumerate(columns) for name, f in (("lo", F.min), ("hi", F.max))]
+    spans = df.selectExpr(
+        *[f"{f}({quote(c)}) AS {f}{i}" for i, c in enumerate(columns) for f in ("min", "max")]
     ).first()
     targets = {}
     floating = set(columns_by_type(df, "floating"))
     for i, c in enumerate(columns):
-        lo, hi = spans[f"lo{i}"], spans[f"hi{i}"]
+        lo, hi = spans[f"min{i}"], spans[f"max{i}"]
         if lo is None:
             continue
         if c in floating:
@@ -216,4 +217,5 @@ def narrow_types(df: DataFrame) -> DataFrame:
         else:
             fitting = [t for t, (a, b) in _INTEGER_BOUNDS.items() if a < lo and hi < b]
             targets[c] = fitting[0] if fitting else "bigint"
-    return df.select(*[col(c).cast(targets[c]).alias(c) if c in targets else col(c) for c in df.columns])
+    casts = [f"CAST({quote(c)} AS {targets[c]})" if c in targets else quote(c) for c in df.columns]
+    return df.selectExpr(*casts).toDF(*df.columns)

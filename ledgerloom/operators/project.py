@@ -25,7 +25,7 @@ def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
 def prefix_columns(df: DataFrame, prefix: str, keep: Iterable[str]) -> DataFrame:
     """Prefix every column but the ones to keep."""
     keep = set(keep)
-    return df.select(*[col(c) if c in keep else col(c).alias(prefix + c) for c in df.columns])
+    return df.toDF(*[c if c in keep else prefix + c for c in df.columns])
 
 
 def clean_names(df: DataFrame) -> DataFrame:
