@@ -151,7 +151,10 @@ def summarize(
         add(subset.prefix, subset.spec, flag_name)
     exprs |= dict(extra or {})
 
-    out = kept.groupBy(*keys).agg(*exprs.values()).toDF(*keys, *exprs)
+    if exprs:
+        out = kept.groupBy(*keys).agg(*exprs.values()).toDF(*keys, *exprs)
+    else:
+        out = kept.select(*keys).distinct()
     for name, column, where in medians:
         rows = kept if where is None else kept.where(where)
         values = rows.select(*keys, col(column).alias("__value"))

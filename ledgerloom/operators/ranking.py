@@ -140,21 +140,29 @@ def average_rank(df: DataFrame, value: str, out: str, hot_rows: int = HOT_ROWS)
     return lookup_join(df, placed.select(value, _N, rank.alias(out)), [value], _N, hot_rows)
 
 
-def roc_auc(df: DataFrame, label: str, score: str, out: str = "auc") -> DataFrame:
-    """Exact area under the ROC curve, ties counted half; null for a single class."""
+def roc_auc(
+    df: DataFrame,
+    label: str,
+    score: str,
+    out: str = "auc",
+    group_by: Sequence[str] = (),
+) -> DataFrame:
+    """Exact area under the ROC curve, ties counted half; null for a single class.
+
+    With ``group_by`` one row per group, for example per fold, in the same pass.
+    """
     by_score = (
         df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(score)
+        .groupBy(*group_by, score)
         .agg(
             F.count_if(F.col(label) == 1).alias("__pos"),
             F.count_if(F.col(label) != 1).alias("__neg"),
         )
     )
-    placed = positions(by_score, [score], weights=["__pos", "__neg"])
+    placed = positions(by_score, [score], group_by, weights=["__pos", "__neg"])
     wins = F.col("__pos") * (F.col(BEFORE + "__neg") + F.col("__neg") / F.lit(2.0))
-    return placed.agg(
-        safe_div(F.sum(wins), F.sum("__pos").cast("double") * F.sum("__neg").cast("double")).alias(out)
-    )
+    pairs = F.sum("__pos").cast("double") * F.sum("__neg").cast("double")
+    return placed.groupBy(*group_by).agg(safe_div(F.sum(wins), pairs).alias(out))
 
 
 def row_positions(df: DataFrame, order: Sequence[str], group_by: Sequence[str], out: str) -> DataFrame:

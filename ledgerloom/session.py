@@ -15,6 +15,9 @@ def local_session(app: str, cores: int | str = "*", shuffle_partitions: int = 8)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Aggregates of hundreds of columns compile to methods the JVM never
+        # optimises; above this many bytecodes the split-up form is faster.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
