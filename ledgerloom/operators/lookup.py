@@ -15,10 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources import checkpoint
+
 HOT_ROWS = 5_000_000
 
 _COUNT = "__key_rows"
-_HOT = "__hot"
 
 
 def lookup_join(
@@ -31,20 +32,26 @@ def lookup_join(
     """Left-join ``lookup`` (one row per key) to ``rows``.
 
     ``count`` is the column of ``lookup`` with the number of rows of its key.
-    Rows with a null key match nothing and also stay out of the shuffle.
+    Rows with a null key match nothing and stay out of the shuffle.  The value
+    table is settled first, since each part of the join reads it; without hot
+    keys the rows are read by the shuffled join alone.
     """
     on = list(on)
     values = [c for c in lookup.columns if c not in on and c != count]
+    out = [*rows.columns, *values]
     has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
 
-    hot = lookup.where(F.col(count) >= hot_rows).select(*on, *values, F.lit(1).alias(_HOT))
+    lookup = checkpoint(lookup)
+    hot = lookup.where(F.col(count) >= hot_rows).select(*on, *values)
     cold = lookup.where(F.col(count) < hot_rows).select(*on, *values)
 
-    unshuffled = rows.join(F.broadcast(hot), on, "left").where(F.col(_HOT).isNotNull() | has_null)
-    shuffled = rows.where(~has_null).join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on, "left")
-
-    out = [*rows.columns, *values]
-    return unshuffled.select(*out).unionByName(shuffled.select(*out))
+    keyed = rows.where(~has_null)
+    parts = [rows.where(has_null).select("*", *[F.lit(None).cast(lookup.schema[v].dataType).alias(v) for v in values])]
+    if not hot.isEmpty():
+        parts.append(keyed.join(F.broadcast(hot), on, "inner"))
+        keyed = keyed.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    parts.append(keyed.join(cold, on, "left"))
+    return reduce(DataFrame.unionByName, [p.select(*out) for p in parts])
 
 
 def attach_group_stats(

@@ -15,9 +15,6 @@ from ..functions.arithmetic import col, quote
 from .project import columns_by_type
 from .ranking import column_quantiles
 
-# Counters held per column while looking for frequent values.
-_TRACKED = 4096
-
 
 def null_shares(df: DataFrame) -> DataFrame:
     """Share of nulls per column, as one row."""
@@ -40,10 +37,11 @@ def quasi_constant_columns(df: DataFrame, threshold: float = 0.98) -> list[str]:
     if threshold < 0.01:
         longest = _largest_counts(df)
         return [c for c in df.columns if longest[c] >= threshold * longest[None]]
-    k = math.ceil(1 / (threshold - 0.005)) + 1
-    tops = df.agg(
-        *[F.expr(f"approx_top_k(`{c}`, {k}, {_TRACKED})").alias(f"c{i}") for i, c in enumerate(df.columns)]
-    ).first()
+    # With this many counters the sketch errs by less than a fifth of the
+    # threshold, so k candidates cover every value that reaches it.
+    tracked = max(64, math.ceil(20 / threshold))
+    k = math.ceil(1.25 / threshold) + 1
+    tops = df.selectExpr(*[f"approx_top_k({quote(c)}, {k}, {tracked})" for c in df.columns]).first()
     counts = []
     candidates = []
     for i, c in enumerate(df.columns):
@@ -113,6 +111,8 @@ _MOMENTS = T.StructType(
 def column_correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of each column pair over the rows where both are known.
 
+    The pairs are pairs of columns, so their number does not grow with the data.
+
     Every task turns its rows into the moment matrices of all pairs, one matrix
     product per Arrow batch, and Spark adds them up by pair; one scan serves any
     number of columns.  Columns are centred on their means first to keep the

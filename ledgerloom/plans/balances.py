@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,14 +13,14 @@ from ..operators.encode import learn_categories
 from . import fixed
 
 
-def pos_base(months: DataFrame) -> DataFrame:
+def pos_base(months: DataFrame, categories: Mapping[str, Sequence] | None = None) -> DataFrame:
     """One level, with status shares."""
     return summarize(
         months,
         ["SK_ID_CURR"],
         fixed.POS_BASE,
         "POS_",
-        Shares(learn_categories(months)),
+        Shares(categories or learn_categories(months)),
         extra={"POS_NEW_COUNT": F.count(F.lit(1))},
     )
 

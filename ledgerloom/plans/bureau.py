@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,19 +23,24 @@ from ..operators.aggregate import Shares, Subset, share_exprs, summarize
 from ..operators.encode import learn_categories
 from ..operators.project import fill_zero
 from ..operators.ranking import average_rank
+from ..sources import checkpoint
 from . import fixed
 
+Categories = Mapping[str, Sequence] | None
+
 
 def _status(name: str) -> Column:
     return F.col("CREDIT_ACTIVE") == name
 
 
-def _with_monthly_shares(credits: DataFrame, months: DataFrame) -> tuple[DataFrame, dict[str, list[str]]]:
+def _with_monthly_shares(
+    credits: DataFrame, months: DataFrame, statuses: Categories = None
+) -> tuple[DataFrame, dict[str, list[str]]]:
     """Month span and status shares per credit, joined to the credits.
 
     Returns the frame and the spec that carries the shares on to the applicant.
     """
-    statuses = learn_categories(months, ["STATUS"])
+    statuses = statuses or learn_categories(months, ["STATUS"])
     per_credit = summarize(
         months,
         ["SK_ID_BUREAU"],
@@ -44,15 +51,23 @@ def _with_monthly_shares(credits: DataFrame, months: DataFrame) -> tuple[DataFra
     return credits.join(per_credit, "SK_ID_BUREAU", "left"), carried
 
 
-def bureau_base(credits: DataFrame, months: DataFrame) -> DataFrame:
-    """All, active and closed credits per applicant in one aggregation."""
-    df, carried = _with_monthly_shares(credits, months)
+def bureau_base(
+    credits: DataFrame,
+    months: DataFrame,
+    categories: Categories = None,
+    statuses: Categories = None,
+) -> DataFrame:
+    """All, active and closed credits per applicant in one aggregation.
+
+    Category lists that are known already save the passes that learn them.
+    """
+    df, carried = _with_monthly_shares(credits, months, statuses)
     return summarize(
         df,
         ["SK_ID_CURR"],
         fixed.BUREAU_BASE | carried,
         "BURO_",
-        Shares(learn_categories(credits)),
+        Shares(categories or learn_categories(credits)),
         [
             Subset("BURO_NEW_ACTIVE_", _status("Active"), fixed.BUREAU_BASE),
             Subset("BURO_NEW_CLOSED_", _status("Closed"), fixed.BUREAU_BASE),
@@ -149,7 +164,8 @@ def bureau_behaviour(credits: DataFrame) -> DataFrame:
             "BURO_IS_UNSUCCESSFUL_CREDIT_PAYMENT_NEW": flag(F.count_if(_status("Closed") & (debt > 0)) > 0),
         },
     )
-    return average_rank(counts, "BURO_MAX_DELAYED_PAYMENTS", "BURO_DELAYED_PAYMENTS_TOP_100_NEW")
+    # Ranking reads the counts several times.
+    return average_rank(checkpoint(counts), "BURO_MAX_DELAYED_PAYMENTS", "BURO_DELAYED_PAYMENTS_TOP_100_NEW")
 
 
 def bureau_filled_with_behaviour(credits: DataFrame, months: DataFrame) -> DataFrame:
