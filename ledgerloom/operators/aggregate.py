@@ -86,12 +86,19 @@ def indicator(column: str, value) -> str:
     return f"{quote(column)} IS NULL" if value is None else f"{quote(column)} <=> {sql_literal(value)}"
 
 
+# Everything about a 0/1 indicator follows from its count and the group's size,
+# so all functions of one category share a single aggregate.
+_SHARE_TEMPLATES = {
+    "sum": "{hits}",
+    "mean": "{hits} / count(1)",
+    "max": "CAST({hits} > 0 AS INT)",
+    "min": "CAST({hits} = count(1) AS INT)",
+    "var": "({hits} - {hits} * {hits} / count(1)) / nullif(count(1) - 1, 0)",
+}
+
+
 def _share_text(function: str, condition: str) -> str:
-    if function == "sum":
-        return f"count_if({condition})"
-    if function == "mean":
-        return f"count_if({condition}) / count(1)"
-    return _TEMPLATES[function].format(c=f"CAST({condition} AS INT)", f="")
+    return _SHARE_TEMPLATES[function].format(hits=f"count_if({condition})")
 
 
 def share_exprs(shares: Shares, prefix: str = "") -> dict[str, Column]:
@@ -155,11 +162,20 @@ def summarize(
         out = kept.groupBy(*keys).agg(*exprs.values()).toDF(*keys, *exprs)
     else:
         out = kept.select(*keys).distinct()
-    for name, column, where in medians:
-        rows = kept if where is None else kept.where(where)
-        values = rows.select(*keys, col(column).alias("__value"))
-        out = out.join(group_quantiles(values, "__value", {name: 0.5}, keys), keys, "left")
-    return out
+    return out.join(_medians(kept, keys, medians), keys, "left") if medians else out
+
+
+def _medians(rows: DataFrame, keys: list[str], wanted: Sequence[tuple[str, str, str | None]]) -> DataFrame:
+    """All requested medians in one ordered pass over (name, key, value) rows."""
+    values = [
+        f"named_struct('name', {sql_literal(name)}, 'value', "
+        + (f"CAST({quote(column)} AS DOUBLE))" if where is None else f"CAST(CASE WHEN {where} THEN {quote(column)} END AS DOUBLE))")
+        for name, column, where in wanted
+    ]
+    long = rows.selectExpr(*[quote(k) for k in keys], f"inline(array({', '.join(values)}))")
+    found = group_quantiles(long, "value", {"median": 0.5}, ["name", *keys])
+    picks = [F.max(F.when(F.col("name") == name, F.col("median"))).alias(name) for name, _, _ in wanted]
+    return found.groupBy(*keys).agg(*picks)
 
 
 def every_column(df: DataFrame, keys: Sequence[str], functions: Sequence[str]) -> dict[str, list[str]]:
