@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .simhash import op10_simhash
+from .substrings import op5_substring
 
-QUERIES = {f.__name__: f for f in (op10_simhash,)}
+QUERIES = {f.__name__: f for f in (op5_substring, op10_simhash)}
 ORACLE: dict[str, str] = {}
