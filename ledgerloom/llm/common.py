@@ -61,14 +61,14 @@ def texts(column: pa.Array) -> pa.Array:
 
 def split_words(column: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
     """All words of a text column in order, and the number of words of each row."""
-    clean = texts(column)
-    if lower:
-        clean = pc.ascii_lower(clean)
-    parts = pc.ascii_split_whitespace(clean)
+    parts = pc.ascii_split_whitespace(texts(column))
     flat = parts.flatten()
     full = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
     rows = np.repeat(np.arange(len(column)), np.diff(parts.offsets.to_numpy()))
-    return flat.filter(pa.array(full)), np.bincount(rows[full], minlength=len(column))
+    words = flat.filter(pa.array(full))
+    if lower:  # only now: lower-casing goes wrong on an array that is a slice of another
+        words = pc.ascii_lower(words)
+    return words, np.bincount(rows[full], minlength=len(column))
 
 
 def word_hashes(words: pa.Array, hasher: Callable[[bytes], int]) -> np.ndarray:

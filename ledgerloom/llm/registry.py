@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from .simhash import op10_simhash
+from .ngrams import op4_lm
 from .substrings import op5_substring
 
-QUERIES = {f.__name__: f for f in (op5_substring, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op4_lm, op5_substring, op10_simhash)}
 ORACLE: dict[str, str] = {}
