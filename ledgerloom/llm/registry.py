@@ -5,7 +5,8 @@ from __future__ import annotations
 from .simhash import op10_simhash
 from .ngrams import op4_lm
 from .substrings import op5_substring
+from .toxicity import op1_toxicity
 from .vectors import op2_embedding
 
-QUERIES = {f.__name__: f for f in (op2_embedding, op4_lm, op5_substring, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_embedding, op4_lm, op5_substring, op10_simhash)}
 ORACLE: dict[str, str] = {}
