@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .packing import op6_packing
+from .pages import op3_html
 from .simhash import op10_simhash
 from .decontaminate import op8_decontamination
 from .ngrams import op4_lm
@@ -10,5 +11,5 @@ from .substrings import op5_substring
 from .toxicity import op1_toxicity
 from .vectors import op2_embedding
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_embedding, op4_lm, op5_substring, op6_packing, op8_decontamination, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_embedding, op3_html, op4_lm, op5_substring, op6_packing, op8_decontamination, op10_simhash)}
 ORACLE: dict[str, str] = {}
