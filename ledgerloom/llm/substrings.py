@@ -153,34 +153,61 @@ def repeated_cells(docs: DataFrame, window: int, anchor: int) -> bytes:
     return bytes(out)
 
 
-_ROWS = "route int, doc bigint, th bigint, blob binary"
+_ROWS = "route int, done boolean, blob binary"
+
+
+def _routed(routes: np.ndarray, many: int, *fields: np.ndarray, done: bool) -> pa.RecordBatch:
+    """One row per route: the number of entries and the fields, one after another.  ``routes`` is rising."""
+    edges = np.searchsorted(routes, np.arange(many + 1))
+    full = np.flatnonzero(np.diff(edges))
+    blobs = [
+        b"".join([(edges[k + 1] - edges[k]).astype("<i8").tobytes(), *(f[edges[k] : edges[k + 1]].tobytes() for f in fields)]) for k in full
+    ]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(full.astype(np.int32)), pa.array(np.full(len(full), done)), pa.array(blobs, pa.binary())], names=["route", "done", "blob"]
+    )
+
+
+def _fields(blob: bytes, *kinds: str) -> list[np.ndarray]:
+    n, at, out = int(np.frombuffer(blob, "<i8", 1)[0]), 8, []
+    for kind in kinds:
+        out.append(np.frombuffer(blob, kind, n, at))
+        at += out[-1].nbytes
+    return out
+
+
+def _covered(docs: np.ndarray, ths: np.ndarray, pos: np.ndarray, routes: int) -> pa.RecordBatch:
+    """Covered window starts, routed by their document."""
+    to = (mixed(docs.view(np.uint64) ^ mixed(ths.view(np.uint64))) % np.uint64(routes)).astype(np.int64)
+    order = np.argsort(to, kind="stable")
+    return _routed(to[order], routes, docs[order], ths[order], pos[order].astype("<i4"), done=True)
 
 
 def _by_document(docs: np.ndarray, ths: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    """Rows of covered window starts, one per document."""
+    """One row per document."""
     order = np.lexsort((pos, ths, docs))
     docs, ths, pos = docs[order], ths[order], pos[order].astype("<i4")
-    cut = np.flatnonzero(np.append(True, (docs[1:] != docs[:-1]) | (ths[1:] != ths[:-1]))) if len(docs) else np.zeros(0, int)
-    ends = np.append(cut[1:], len(docs))
-    blobs = [pos[a:b].tobytes() for a, b in zip(cut, ends)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array((docs[cut] % 1_000_003).astype(np.int32)), pa.array(docs[cut]), pa.array(ths[cut]), pa.array(blobs, pa.binary())],
-        names=["route", "doc", "th", "blob"],
-    )
+    cut = np.flatnonzero(np.append(True, (docs[1:] != docs[:-1]) | (ths[1:] != ths[:-1])))
+    blobs = [pos[a:b].tobytes() for a, b in zip(cut, np.append(cut[1:], len(docs)))]
+    return pa.RecordBatch.from_arrays([pa.array(docs[cut]), pa.array(ths[cut]), pa.array(blobs, pa.binary())], names=["doc", "th", "starts"])
 
 
-def _settle(h1, h2, docs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _settle(h1: np.ndarray, h2: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order by hash and document; which of the ordered windows belong to the smallest document of their hash."""
     order = np.lexsort((docs, h2, h1))
     a, b, d = h1[order], h2[order], docs[order]
     new = np.ones(len(a), bool)
     new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
     least = d[np.flatnonzero(new)][np.cumsum(new) - 1] if len(a) else d
-    return order, d == least, new
+    return order, d == least
 
 
 def covered_windows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """``doc, th, blobs``: starts (little-endian int32) of windows that also start in a smaller document."""
+    """``doc, th, starts``: little-endian int32 starts of the document's windows that also start in a smaller one.
+
+    A task first settles its own windows, so of a window met by many documents
+    each task sends one on.  Entries travel packed, a row per route.
+    """
     spark = docs.sparkSession
     bits = spark.sparkContext.broadcast(repeated_cells(docs, window, anchor))
     routes = 4 * partitions(spark)
@@ -192,22 +219,11 @@ def covered_windows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
         def flush():
             h1, h2, ids, ths, pos = (np.concatenate(x) for x in zip(*held))
             held.clear()
-            order, first, _ = _settle(h1, h2, ids)
-            yield _by_document(ids[order][~first], ths[order][~first], pos[order][~first])
+            order, first = _settle(h1, h2, ids)
+            yield _covered(ids[order][~first], ths[order][~first], pos[order][~first], routes)
             keep = order[first]  # still in the order of h1: one run per route
-            h1, h2, ids, ths, pos = h1[keep], h2[keep], ids[keep], ths[keep], pos[keep]
-            route = (h1 >> np.uint64(33)).astype(np.int64) * routes >> 31
-            edges = np.searchsorted(route, np.arange(routes + 1))
-            numbers, blobs = [], []
-            for k in np.flatnonzero(np.diff(edges)):
-                part = slice(edges[k], edges[k + 1])
-                pairs, at = np.unique(np.stack([ids[part], ths[part]]), axis=1, return_inverse=True)
-                head = np.array([pairs.shape[1], edges[k + 1] - edges[k]], "<i8")
-                fields = (head, pairs.astype("<i8"), h1[part].astype("<u8"), h2[part].astype("<u8"), at.ravel().astype("<i4"), pos[part].astype("<i4"))
-                numbers.append(int(k))
-                blobs.append(b"".join(f.tobytes() for f in fields))
-            none = pa.nulls(len(numbers), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), none, none, pa.array(blobs, pa.binary())], names=["route", "doc", "th", "blob"])
+            h1, h2, ids, ths, pos = h1[keep], h2[keep], ids[keep], ths[keep], pos[keep].astype("<i4")
+            yield _routed((h1 >> np.uint64(33)).astype(np.int64) * routes >> 31, routes, h1, h2, ids, ths, pos, done=False)
 
         def tested(anchors):
             hit = np.ones(len(anchors), bool)
@@ -228,41 +244,59 @@ def covered_windows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
             yield from flush()
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[bytes] = []
+        found: list[tuple] = []
+        current = None
+
+        def settle():
+            h1, h2, ids, ths, pos = (np.concatenate(x) for x in zip(*(_fields(b, "<u8", "<u8", "<i8", "<i8", "<i4") for b in held)))
+            held.clear()
+            order, first = _settle(h1, h2, ids)
+            found.append((ids[order][~first], ths[order][~first], pos[order][~first]))
+
+        def flush():
+            out = _covered(*(np.concatenate(x) for x in zip(*found)), routes)
+            found.clear()
+            return out
+
+        for b in batches:
+            done = b.column(1).to_numpy(zero_copy_only=False)
+            for route, blob in zip(*(c.filter(pa.array(~done)).to_pylist() for c in (b.column(0), b.column(2)))):
+                if route != current and held:
+                    settle()
+                    if sum(len(x[0]) for x in found) > FLUSH:
+                        yield flush()
+                current = route
+                held.append(blob)
+            if done.any():
+                yield b.filter(pa.array(done))
+        if held:
+            settle()
+        if found:
+            yield flush()
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[bytes] = []
         current = None
 
         def flush():
-            parts = []
-            for blob in held:
-                docs_n, n = np.frombuffer(blob, "<i8", 2)
-                pairs = np.frombuffer(blob, "<i8", 2 * docs_n, 16).reshape(2, docs_n)
-                at = 16 + 16 * docs_n
-                h1 = np.frombuffer(blob, "<u8", n, at)
-                h2 = np.frombuffer(blob, "<u8", n, at + 8 * n)
-                index = np.frombuffer(blob, "<i4", n, at + 16 * n)
-                parts.append((h1, h2, pairs[0][index], pairs[1][index], np.frombuffer(blob, "<i4", n, at + 20 * n)))
+            out = _by_document(*(np.concatenate(x) for x in zip(*(_fields(b, "<i8", "<i8", "<i4") for b in held))))
             held.clear()
-            h1, h2, ids, ths, pos = (np.concatenate(x) for x in zip(*parts))
-            order, first, _ = _settle(h1, h2, ids)
-            return _by_document(ids[order][~first], ths[order][~first], pos[order][~first])
+            return out
 
         for b in batches:
-            for i in range(b.num_rows):
-                if b.column(1)[i].is_valid:
-                    continue
-                route = b.column(0)[i].as_py()
+            for route, blob in zip(b.column(0).to_pylist(), b.column(2).to_pylist()):
                 if route != current and held:
                     yield flush()
                 current = route
-                held.append(b.column(3)[i].as_py())
-            through = b.filter(pc.is_valid(b.column(1)))
-            if through.num_rows:
-                yield through
+                held.append(blob)
         if held:
             yield flush()
 
-    found = arrow(docs, find, _ROWS).repartition(partitions(spark), "route").sortWithinPartitions("route")
-    return arrow(found, group, _ROWS).groupBy("doc", "th").agg(F.collect_list("blob").alias("blobs"))
+    def by_route(df: DataFrame) -> DataFrame:
+        return df.repartition(partitions(spark), "route").sortWithinPartitions("route")
+
+    return arrow(by_route(arrow(by_route(arrow(docs, find, _ROWS)), group, _ROWS)), gather, "doc bigint, th bigint, starts binary")
 
 
 def remove_repeats(
@@ -285,14 +319,12 @@ def remove_repeats(
             words, counts = split_words(b.column(1))
             ends = np.cumsum(counts)
             covered = np.zeros(len(words), bool)
-            for i, blobs in enumerate(b.column(2).to_pylist()):
-                if blobs:
-                    base, n = ends[i] - counts[i], counts[i]
+            for i, starts in enumerate(b.column(2).to_pylist()):
+                if starts:
+                    base, n, at = ends[i] - counts[i], counts[i], np.frombuffer(starts, "<i4")
                     steps = np.zeros(n + window + 1, np.int32)
-                    for blob in blobs:
-                        at = np.frombuffer(blob, "<i4")
-                        np.add.at(steps, at, 1)
-                        np.add.at(steps, at + window, -1)
+                    np.add.at(steps, at, 1)
+                    np.add.at(steps, at + window, -1)
                     covered[base : base + n] = np.cumsum(steps)[:n] > 0
             rows = np.repeat(np.arange(b.num_rows), counts)
             removed = np.bincount(rows[covered], minlength=b.num_rows)
@@ -302,7 +334,7 @@ def remove_repeats(
                 [b.column(0), pa.array(counts.astype(np.int64)), pa.array(removed.astype(np.int64)), joined], names=["id", "n_words", "n_removed", "kept"]
             )
 
-    both = chosen.join(found, (chosen["id"] == found["doc"]) & (chosen["th"] == found["th"]), "left").select("id", "text", "blobs")
+    both = chosen.join(found, (chosen["id"] == found["doc"]) & (chosen["th"] == found["th"]), "left").select("id", "text", "starts")
     return arrow(both, cut, "id bigint, n_words bigint, n_removed bigint, kept string")
 
 
