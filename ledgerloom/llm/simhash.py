@@ -16,7 +16,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import checkpoint
@@ -172,20 +172,20 @@ def links(distinct: DataFrame, distance: int = DISTANCE, parts: Sequence[tuple[S
         if n < 2:
             return distinct.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where("false")
         parts = choose_parts(distinct, n, distance)
-    index, probe = [], []
+    index, right = [], None
+
+    def flipped(key: Column, flips: list[int]) -> Column:
+        return key if len(flips) == 1 else F.explode(F.transform(F.lit(flips), lambda f: f.bitwiseXOR(key)))
+
     for k, (bits, t) in enumerate(parts):
         if t < 0:
             continue
         key = F.col("fp").bitwiseAND(F.lit(mask(bits)))
         flips = [mask(c) for e in range(t + 1) for c in combinations(bits, e)]
         index.append(F.struct(F.lit(k).alias("part"), key.alias("key")))
-        probe.append((k, key, flips))
-    left = distinct.select(F.col("fp").alias("a"), F.explode(F.array(*index)).alias("x")).select("a", "x.part", "x.key")
-    right = None
-    for k, key, flips in probe:
-        keys = key if len(flips) == 1 else F.explode(F.transform(F.lit(flips), lambda f, key=key: f.bitwiseXOR(key)))
-        rows = distinct.select(F.col("fp").alias("b"), F.lit(k).alias("part"), keys.alias("key"))
+        rows = distinct.select(F.col("fp").alias("b"), F.lit(k).alias("part"), flipped(key, flips).alias("key"))
         right = rows if right is None else right.union(rows)
+    left = distinct.select(F.col("fp").alias("a"), F.explode(F.array(*index)).alias("x")).select("a", "x.part", "x.key")
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
     return left.hint("shuffle_merge").join(right, (left["part"] == right["part"]) & (left["key"] == right["key"]) & near).select("a", "b")
 
