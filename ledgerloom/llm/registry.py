@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .packing import op6_packing
 from .pages import op3_html
+from .private import op9_pii
 from .simhash import op10_simhash
 from .decontaminate import op8_decontamination
 from .lines import op7_lines
@@ -12,5 +13,5 @@ from .substrings import op5_substring
 from .toxicity import op1_toxicity
 from .vectors import op2_embedding
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_embedding, op3_html, op4_lm, op5_substring, op6_packing, op7_lines, op8_decontamination, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_embedding, op3_html, op4_lm, op5_substring, op6_packing, op7_lines, op8_decontamination, op9_pii, op10_simhash)}
 ORACLE: dict[str, str] = {}
