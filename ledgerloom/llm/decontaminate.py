@@ -221,6 +221,24 @@ def contaminated(
     return docs.sparkSession.createDataFrame([], _PAIRS) if out is None else out
 
 
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", minimum: int = MINIMUM, coverage: float = COVERAGE
+) -> DataFrame:
+    """The rows of ``docs`` that cover no benchmark item, unchanged; as in ``contaminated``."""
+    at = docs.columns.index(text_col)
+    for block in _blocks(benchmark, item_col, item_text_col, minimum):
+        shared = docs.sparkSession.sparkContext.broadcast(block)
+
+        def step(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for b in slices(batches, column=at):
+                clean = np.ones(b.num_rows, bool)
+                clean[[row for row, _, _ in shared.value.matches(*tokens(b.column(at)), coverage)]] = False
+                yield b.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(step, docs.schema)
+    return docs
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with the item and its coverage."""
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

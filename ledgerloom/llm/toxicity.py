@@ -335,6 +335,27 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return arrow(known, step, "id bigint, held_out boolean, score double, predicted int, neighbours array<struct<id: bigint, cosine: double>>")
 
 
+def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = FOLDS) -> DataFrame:
+    """The rows of ``docs`` that are not predicted toxic, unchanged; learned as in ``score_documents``.
+
+    Rows are judged by their text alone, so copies, null ids and repeated ids
+    are treated alike.  Texts are not shuffled.
+    """
+    chosen = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), (bucket(id_col, folds) == 0).alias("held"))
+    model, _ = learn(chosen, labels)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        finder = Vocabulary(m.vocabulary)
+        for b in slices(batches, column=at):
+            votes = m.votes(*finder.counts(b.column(at)), b.num_rows)
+            yield b.filter(pa.array([m.score(v) < 0.5 for v, _, _ in votes], pa.bool_()))
+
+    return docs.mapInArrow(step, docs.schema)
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents."""
     scored = score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
