@@ -116,7 +116,7 @@ def _pairs(toks: np.ndarray, lens: np.ndarray, vocab: np.ndarray) -> np.ndarray:
 def totals(chunks: DataFrame, pairs: bool) -> DataFrame:
     """``chunk, route, kind, blob``: training totals of each chunk's words (or pairs), in the order of their hashes.
 
-    A row with a null chunk has, in ``distinct`` and ``total``, the share of one
+    Keys travel as differences of sorted hashes.  A row with a null chunk has, in ``distinct`` and ``total``, the share of one
     hash range in the number of distinct keys seen in training and of all tokens.
     """
     spark = chunks.sparkSession
@@ -141,7 +141,7 @@ def totals(chunks: DataFrame, pairs: bool) -> DataFrame:
                     [
                         pa.array(full.astype(np.int32)),
                         pa.array(np.full(len(full), r["chunk"])),
-                        pa.array([keys[edges[k] : edges[k + 1]].tobytes() for k in full], pa.binary()),
+                        pa.array([_pack(np.diff(keys[edges[k] : edges[k + 1]], prepend=np.uint64(0)).astype("<u8")) for k in full], pa.binary()),
                         pa.array([_pack(counts[edges[k] : edges[k + 1]].astype("<u4")) for k in full], pa.binary()),
                     ],
                     names=["route", "chunk", "keys", "counts"],
@@ -152,11 +152,12 @@ def totals(chunks: DataFrame, pairs: bool) -> DataFrame:
         current = None
 
         def flush():
-            keys = np.concatenate([np.frombuffer(k, "<u8") for _, k, _ in held])
+            each = [np.cumsum(_unpack(k, "<u8"), dtype=np.uint64) for _, k, _ in held]
+            keys = np.concatenate(each)
             counts = np.concatenate([_unpack(c, "<u4") for _, _, c in held])
             distinct, at = np.unique(keys, return_inverse=True)
             summed = np.bincount(at, weights=counts, minlength=len(distinct)).astype("<u8")
-            ends = np.cumsum([len(k) // 8 for _, k, _ in held])
+            ends = np.cumsum([len(k) for k in each])
             blobs = [_pack(part) for part in np.split(summed[at], ends[:-1])]
             n = len(held)
             columns = [
