@@ -516,9 +516,64 @@ def encode_rare_pct(spark, d):
     return O.rare_labels_percent(O.null_sentinels(df, {"p_brand": "Brand#1"}), {"p_brand": 4.1})
 
 
+@query(
+    "WITH l AS (SELECT l_orderkey, l_linenumber, CAST(CAST(l_extendedprice * 100 AS BIGINT) AS VARCHAR) AS price, l_returnflag FROM lineitem), "
+    "p AS (SELECT price, count(*) AS n FROM l GROUP BY price), f AS (SELECT l_returnflag, count(*) AS m FROM l GROUP BY l_returnflag) "
+    "SELECT l_orderkey, l_linenumber, CASE WHEN n >= 0.0001 * (SELECT count(*) FROM l) THEN price ELSE 'Rare' END AS price, "
+    "CASE WHEN (SELECT count(*) FROM f) <= 2 OR m >= 0.0001 * (SELECT count(*) FROM l) THEN l_returnflag ELSE 'Rare' END AS l_returnflag "
+    "FROM l JOIN p USING (price) JOIN f USING (l_returnflag)"
+)
+def encode_rare_many(spark, d):
+    """Rare values of a column with tens of thousands of them."""
+    df = load(spark, d, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "CAST(CAST(l_extendedprice * 100 AS BIGINT) AS STRING) AS price", "l_returnflag"
+    )
+    return O.rare_labels(df, ["price", "l_returnflag"], 0.0001, 2)
+
+
+@query(
+    "SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS id, CASE l_linestatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 END AS l_linestatus FROM lineitem"
+)
+def encode_label_binary_many(spark, d):
+    """A frame whose other text column has a value of its own in every row."""
+    df = load(spark, d, "lineitem").selectExpr("concat(l_orderkey, '-', l_linenumber) AS id", "l_linestatus")
+    return O.label_encode_binary(df)[0]
+
+
+@query(
+    "WITH long AS (SELECT o_custkey, 'o_orderpriority' AS \"column\", o_orderpriority AS value FROM orders UNION ALL SELECT o_custkey, 'o_orderstatus', o_orderstatus FROM orders), "
+    "sizes AS (SELECT o_custkey, count(*) AS m FROM orders GROUP BY o_custkey) "
+    "SELECT o_custkey, \"column\", value, count(*) AS n, CAST(count(*) AS DOUBLE) / any_value(m) AS share FROM long JOIN sizes USING (o_custkey) GROUP BY ALL"
+)
+def agg_category_share_long(spark, d):
+    return O.category_share_rows(load(spark, d, "orders"), ["o_custkey"], ["o_orderpriority", "o_orderstatus"])
+
+
 # ---- aggregates --------------------------------------------------------------
 
 
+@query(
+    "WITH o AS (SELECT o_custkey, CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS price FROM orders) "
+    f"SELECT o_custkey, {fl('min(price)')} AS price_MIN, {fl('max(price)')} AS price_MAX, {fl('avg(price)')} AS price_MEAN, {fl('coalesce(sum(price), 0)')} AS price_SUM, "
+    f"{fl('count(price)')} AS price_COUNT, {fl('count(DISTINCT price)')} AS price_NUNIQUE, {fl('median(price)')} AS price_MEDIAN FROM o GROUP BY o_custkey"
+)
+def agg_nan(spark, d):
+    """NaN counts as null in every aggregate."""
+    orders = load(spark, d, "orders").selectExpr("o_custkey", "CASE WHEN o_orderstatus = 'F' THEN double('NaN') ELSE o_totalprice END AS price")
+    return settle(O.summarize(orders, ["o_custkey"], {"price": ["min", "max", "mean", "sum", "count", "nunique", "median"]}), ["o_custkey"])
+
+
+@query(
+    "WITH o AS (SELECT o_custkey, CAST(o_totalprice AS DECIMAL(12,2)) AS price, CAST(o_orderstatus = 'F' AS INTEGER) AS done FROM orders) "
+    f"SELECT o_custkey, {fl('max(price)')} AS price_MAX, {fl('avg(price)')} AS price_MEAN, {fl('sum(price)')} AS price_SUM, "
+    f"{fl('max(done)')} AS done_MAX, {fl('avg(done)')} AS done_MEAN, {fl('sum(done)')} AS done_SUM FROM o GROUP BY o_custkey"
+)
+def agg_decimal(spark, d):
+    """Decimals and booleans are numbers to a spec over every column."""
+    orders = load(spark, d, "orders").selectExpr("o_custkey", "CAST(o_totalprice AS DECIMAL(12,2)) AS price", "o_orderstatus = 'F' AS done")
+    return settle(O.summarize(orders, ["o_custkey"], O.every_column(orders, ["o_custkey"], ["max", "mean", "sum"])), ["o_custkey"])
+
+
 def _order_agg(**named: str) -> str:
     exprs = ", ".join(f"{fl(e)} AS {n}" for n, e in named.items())
     return f"SELECT o_custkey, {exprs} FROM orders GROUP BY o_custkey"
@@ -954,16 +1009,9 @@ def type_downcast(spark, d):
     return O.narrow_types(load(spark, d, "part").select("p_partkey", "p_size", "p_brand", "p_retailprice"))
 
 
-def _wide_snapshot(spark: SparkSession, d: str) -> DataFrame:
-    """Applicants beside their loan, instalment and card features, as one written snapshot."""
-    t = CreditTables(spark, d)
-    wide = O.attach(
-        plans.applicant_label(t["application_train"]),
-        plans.instalment_status(t["installments_payments"]),
-        plans.pos_flat(t["POS_CASH_balance"]),
-        plans.card_means(t["credit_card_balance"]),
-        on="SK_ID_CURR",
-    )
+def wide_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    """The whole wide table, rows with and without a label, as one written snapshot."""
+    wide = plans.wide_rare(CreditTables(spark, d))
     path = scratch_path(spark, "wide")
     write_snapshot(wide, path)
     return read_snapshot(spark, path)
@@ -971,7 +1019,8 @@ def _wide_snapshot(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def pipe_prune(spark, d):
-    return plans.prune(_wide_snapshot(spark, d))
+    """The wide table less the columns that an earlier one stands for."""
+    return plans.prune(wide_snapshot(spark, d))
 
 
 # ---- exact AUC ---------------------------------------------------------------

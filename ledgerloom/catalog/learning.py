@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from .. import learn
 from .. import operators as O
+from .. import plans
 from ..sources import load_params, read_csv, read_snapshot, save_params, scratch_path, write_csv, write_snapshot
+from .basics import wide_snapshot
 from .standins import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
+# Shorter runs than the defaults; ``rounds``, ``max_depth`` and ``k`` are the parameters to raise.
 _SETTINGS = learn.BoostSettings(rounds=8, max_depth=4, learning_rate=0.1, min_gain=0.0)
 _K = 4
 
@@ -89,7 +92,18 @@ def ml_kfold(spark, d):
 
 @query
 def ml_kfold_metrics(spark, d):
-    return learn.train_kfold(_matrix(spark, d), _SETTINGS, _K, stratified=True).folds
+    """AUC and best round of each of the ten folds."""
+    return learn.train_kfold(_matrix(spark, d), _SETTINGS, stratified=True).folds
+
+
+@query
+def pipe_train(spark, d):
+    """Wide table, pruned, trained under k-fold, refit at the best round, and the rows without a label scored."""
+    path = scratch_path(spark, "pruned")
+    write_snapshot(plans.prune(wide_snapshot(spark, d)), path)
+    matrix = learn.build_matrix(read_snapshot(spark, path), "SK_ID_CURR", "TARGET")
+    model = learn.refit_best(matrix, learn.train_kfold(matrix, _SETTINGS, _K), _SETTINGS)
+    return learn.score_rows(matrix.unlabelled(), [model], ["SK_ID_CURR"], "TARGET")
 
 
 @query
@@ -132,13 +146,14 @@ def ml_score(spark, d):
 
 @query
 def ml_grid_search(spark, d):
-    """Two by two grid; the winner is stored, read back and refit."""
+    """Two by two grid; the winner is stored, read back, refit, and its AUC on all labelled rows put beside the grid."""
     matrix = _matrix(spark, d)
     params, table = learn.tune(matrix, {"learning_rate": [0.01, 0.1], "n_estimators": [8, 4]}, k=3, settings=_SETTINGS)
     path = scratch_path(spark, "params")
     save_params(spark, params, path)
-    learn.refit_from_params(matrix, load_params(spark, path), _SETTINGS)
-    return table
+    model = learn.refit_from_params(matrix, load_params(spark, path), _SETTINGS)
+    scored = learn.score_rows(matrix.labelled(), [model], ["doc_id", "quality"], "score")
+    return table.join(O.roc_auc(scored, "quality", "score").select(F.col("auc").alias("refit_auc")))
 
 
 @query

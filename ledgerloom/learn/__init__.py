@@ -1,4 +1,4 @@
-from .boost import BoostSettings, boosted_model, importances, score_rows
+from .boost import BoostSettings, best_round, boosted_model, first_rounds, importances, score_rows
 from .features import FeatureMatrix, build_matrix
 from .folds import assign_folds, stratified_folds
 from .kfold import KFoldResult, refit_best, train_kfold

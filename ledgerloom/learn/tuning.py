@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 
-from .boost import BoostSettings, boosted_model
+from .boost import FIELDS, BoostSettings, boosted_model
 from .features import FeatureMatrix
 from .folds import assign_folds
 
@@ -18,6 +19,16 @@ GRID = {"learning_rate": [0.01, 0.1], "n_estimators": [200, 100]}
 TUNING_FOLDS = 5
 
 
+# The MLlib parameter behind each tunable name.
+_PARAMS = {
+    "learning_rate": "stepSize",
+    "n_estimators": "maxIter",
+    "max_depth": "maxDepth",
+    "subsample": "subsamplingRate",
+    "min_split_gain": "minInfoGain",
+}
+
+
 def tune(
     matrix: FeatureMatrix,
     grid: Mapping[str, Sequence] | None = None,
@@ -25,11 +36,19 @@ def tune(
     settings: BoostSettings | None = None,
     parallelism: int = 2,
 ) -> tuple[dict, DataFrame]:
-    """Best parameters by AUC, and a table with the mean AUC of every setting."""
-    grid = grid or GRID
+    """Best parameters by AUC, and a table with the mean AUC of every setting.
+
+    Any tunable name may be in the grid; an unknown one is an error.
+    """
+    grid = dict(grid or GRID)
+    if unknown := sorted(set(grid) - set(_PARAMS)):
+        raise ValueError(f"cannot tune {', '.join(unknown)}; known are {', '.join(_PARAMS)}")
     settings = settings or BoostSettings()
     gbt = settings.classifier(matrix.label)
-    steps = ParamGridBuilder().addGrid(gbt.stepSize, grid["learning_rate"]).addGrid(gbt.maxIter, grid["n_estimators"]).build()
+    builder = ParamGridBuilder()
+    for name, values in grid.items():
+        builder = builder.addGrid(gbt.getParam(_PARAMS[name]), list(values))
+    steps = builder.build()
     folded = assign_folds(matrix.labelled(), [matrix.key], k)
     search = CrossValidator(
         estimator=gbt,
@@ -40,13 +59,14 @@ def tune(
         parallelism=parallelism,
     )
     found = search.fit(folded)
+    whole = {"n_estimators", "max_depth"}
     rows = [
-        (float(step[gbt.stepSize]), int(step[gbt.maxIter]), float(auc))
+        (*[(int if name in whole else float)(step[gbt.getParam(_PARAMS[name])]) for name in grid], float(auc))
         for step, auc in zip(steps, found.avgMetrics, strict=True)
     ]
-    table = folded.sparkSession.createDataFrame(rows, "learning_rate double, n_estimators int, auc double")
-    rate, rounds, _ = max(rows, key=lambda r: r[2])
-    return {"learning_rate": rate, "n_estimators": rounds}, table
+    schema = ", ".join(f"{name} {'int' if name in whole else 'double'}" for name in grid) + ", auc double"
+    table = folded.sparkSession.createDataFrame(rows, schema)
+    return dict(zip(grid, max(rows, key=lambda r: r[-1]))), table
 
 
 def refit_from_params(
@@ -55,7 +75,5 @@ def refit_from_params(
     """Fit all labelled rows with stored parameters."""
     stored = BoostSettings.from_names(params)
     if settings is not None:
-        stored = BoostSettings(
-            **{**settings.__dict__, "learning_rate": stored.learning_rate, "rounds": stored.rounds}
-        )
+        stored = replace(settings, **{FIELDS[name]: getattr(stored, FIELDS[name]) for name in params})
     return boosted_model(matrix.labelled(), matrix.label, stored)

@@ -10,6 +10,7 @@ from .aggregate import (
     summarize,
 )
 from .encode import (
+    category_share_rows,
     first_seen_codes,
     first_seen_encode,
     label_codes,
@@ -18,6 +19,7 @@ from .encode import (
     learn_categories,
     one_hot,
     one_hot_encoder,
+    one_hot_sparse,
     rare_labels,
     rare_labels_percent,
 )

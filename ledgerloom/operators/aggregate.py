@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arithmetic import col, quote, sql_literal
+from ..functions.nulls import nan_to_null
+from .project import columns_by_type
 from .ranking import group_quantiles
 
 Spec = Mapping[str, Sequence[str]]
@@ -26,6 +28,8 @@ _TEMPLATES = {
     "max": "max({c}){f}",
     "mean": "nanvl(avg({c}){f}, CAST(NULL AS DOUBLE))",
     "sum": "coalesce(sum({c}){f}, 0)",
+    # The sum of a large group may not fit a 64-bit integer.
+    "sum of long": "coalesce(sum(CAST({c} AS DOUBLE)){f}, 0D)",
     "sum of floating": "CASE WHEN sum({c}){f} IS NULL THEN 0D WHEN NOT isnan(sum({c}){f}) THEN sum({c}){f} END",
     "var": "nanvl(var_samp({c}){f}, CAST(NULL AS DOUBLE))",
     "std": "nanvl(stddev_samp({c}){f}, CAST(NULL AS DOUBLE))",
@@ -41,16 +45,17 @@ _TEMPLATES = {
 _ZERO_WHEN_EMPTY = {"sum", "count", "size", "nunique", "all"}
 
 
-def agg_text(function: str, column: str, where: str | None = None, floating: bool = False) -> str:
+def agg_text(function: str, column: str, where: str | None = None, kind: str = "") -> str:
     """SQL text of one aggregate.
 
     Feature lists run to hundreds of columns; one parsed text per column is far
     cheaper to build than a tree of calls.  With ``where`` only matching rows
     count, and a group without any gives null, as it would after filtering,
-    aggregating and left-joining back.
+    aggregating and left-joining back.  ``kind`` names the column's type where
+    its sum differs: ``floating`` or ``long``.
     """
     f = "" if where is None else f" FILTER (WHERE {where})"
-    template = _TEMPLATES["sum of floating" if function == "sum" and floating else function]
+    template = _TEMPLATES[f"sum of {kind}" if function == "sum" and kind else function]
     text = template.format(c=quote(column), f=f)
     if where is not None and function in _ZERO_WHEN_EMPTY:
         text = f"CASE WHEN count_if({where}) > 0 THEN {text} END"
@@ -124,7 +129,7 @@ def summarize(
     """Aggregate to one row per key in a single pass over ``df``.
 
     Output names are ``<prefix><column>_<FUNCTION>``.  Rows with a null key are
-    left out.  Subset and share aggregates ride in the same hash aggregation,
+    left out.  NaN is null, and booleans are 0 and 1.  Subset and share aggregates ride in the same hash aggregation,
     so adding them costs no further scan, shuffle or join.  Medians need value
     order and are computed beside it, then joined on the key.
     """
@@ -138,7 +143,12 @@ def summarize(
             {name: F.coalesce(s.where, F.lit(False)) for name, s in zip(flags, subsets, strict=True)}
         )
 
-    floating = {f.name for f in df.schema.fields if f.dataType.typeName() in ("float", "double")}
+    used = {c for s in (spec, *(x.spec for x in subsets)) for c in s} - set(keys)
+    types = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    kinds = {c: {"float": "floating", "double": "floating", "long": "long"}.get(types.get(c, ""), "") for c in used | set(keys)}
+    plain = {c: nan_to_null(c) for c in used if kinds[c] == "floating"} | {c: col(c).cast("int") for c in used if types.get(c) == "boolean"}
+    if plain:
+        kept = kept.withColumns(plain)
     exprs: dict[str, Column] = {}
     medians: list[tuple[str, str, str | None]] = []
 
@@ -149,7 +159,7 @@ def summarize(
                 if function == "median":
                     medians.append((name, column, where))
                 else:
-                    exprs[name] = F.expr(agg_text(function, column, where, column in floating))
+                    exprs[name] = F.expr(agg_text(function, column, where, kinds.get(column, "")))
 
     add(prefix, spec, None)
     if shares is not None:
@@ -179,16 +189,9 @@ def _medians(rows: DataFrame, keys: list[str], wanted: Sequence[tuple[str, str,
 
 
 def every_column(df: DataFrame, keys: Sequence[str], functions: Sequence[str]) -> dict[str, list[str]]:
-    """A spec with the same functions for all numeric non-key columns."""
-    numeric = [
-        f.name
-        for f in df.schema.fields
-        if f.name not in keys and f.dataType.typeName() in _NUMERIC_TYPES
-    ]
-    return {c: list(functions) for c in numeric}
-
-
-_NUMERIC_TYPES = {"byte", "short", "integer", "long", "float", "double"}
+    """A spec with the same functions for all numeric and boolean non-key columns."""
+    numeric = {*columns_by_type(df, "numeric"), *columns_by_type(df, "boolean")} - set(keys)
+    return {c: list(functions) for c in df.columns if c in numeric}
 
 
 def count_nonzero(c: str) -> Column:

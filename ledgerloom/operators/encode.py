@@ -1,7 +1,8 @@
 """Categorical encoders.
 
 Category lists are learned once per table, in one pass over all its text
-columns, and only distinct values with their counts reach the driver.
+columns.  Only dense one-hot encoding brings all values of a column to the
+driver, under a limit; the others bring at most a few values per column, or none.
 """
 
 from __future__ import annotations
@@ -9,15 +10,16 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.arithmetic import col, quote
+from ..sources import checkpoint
 from .aggregate import indicator, indicator_name
 from .lookup import HOT_ROWS, lookup_join
 from .ranking import positions
 
-# One output column per value: a table cannot get wider than this sensibly.
+# Dense one-hot encoding makes a column per value; the default limit per source column.
 MAX_INDICATORS = 20_000
 # Codes for fewer values than this travel inside the expression.
 MAX_INLINE_CODES = 200
@@ -36,16 +38,25 @@ def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def learn_counts(df: DataFrame, columns: Sequence[str], limit: int = MAX_INDICATORS) -> dict[str, dict]:
-    """``{column: {value: rows}}`` on the driver; an error when it would be large."""
+    """``{column: {value: rows}}`` on the driver.
+
+    For work that needs all values there, such as a column per value: a column
+    of more than ``limit`` values is an error that names it.  The other encoders
+    do not come this way.
+    """
     columns = list(columns)
     if not columns:
         return {}
-    found = category_counts(df, columns).limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{columns} hold more than {limit} distinct values; they are not categories")
+    counts = category_counts(df, columns)
+    within = Window.partitionBy("column").orderBy("value")
+    # Spark keeps the first limit + 1 rows of each column in every task before it shuffles.
+    first = counts.withColumn("__nth", F.row_number().over(within)).where(F.col("__nth") <= limit + 1)
     out: dict[str, dict] = {c: {} for c in columns}
-    for row in found:
+    for row in first.collect():
         out[row["column"]][row["value"]] = row["n"]
+    many = [c for c, values in out.items() if len(values) > limit]
+    if many:
+        raise ValueError(f"more than {limit} distinct values in {', '.join(many)}; raise the limit or use the long form")
     return out
 
 
@@ -54,14 +65,16 @@ def learn_categories(
     columns: Sequence[str] | None = None,
     null_column: bool = True,
     drop_first: bool = False,
+    limit: int = MAX_INDICATORS,
 ) -> dict[str, list]:
     """Sorted values of each text column, followed by ``None`` for the null column.
 
-    The null category is listed whether or not a null was seen.
+    The null category is listed whether or not a null was seen.  ``limit``
+    bounds the values of one column.
     """
     columns = text_columns(df) if columns is None else list(columns)
     out = {}
-    for column, counts in learn_counts(df, columns).items():
+    for column, counts in learn_counts(df, columns, limit).items():
         values = sorted(v for v in counts if v is not None)
         if drop_first:
             values = values[1:]
@@ -69,6 +82,38 @@ def learn_categories(
     return out
 
 
+def category_share_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Category shares in long form: keys, ``column, value, n, share``, for any number of values.
+
+    A null is a value; shares are of the key's rows.  Rows with a null key are left out.
+    """
+    keys = list(keys)
+    kept = df
+    for key in keys:
+        kept = kept.where(col(key).isNotNull())
+    long = kept.select(*[col(k) for k in keys], *[col(c).cast("string").alias(c) for c in columns]).unpivot(
+        keys, list(columns), "column", "value"
+    )
+    counts = long.groupBy(*keys, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    sizes = kept.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
+    return counts.join(sizes, keys).select(*keys, "column", "value", "n", (F.col("n") / F.col("__rows")).alias("share"))
+
+
+def one_hot_sparse(df: DataFrame, key: Sequence[str], columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """One-hot encoding for any number of values: rows ``key, index`` of ones, and ``column, value, index``.
+
+    Indices run over all columns in order of (column, value); a null is a value.
+    """
+    counts = category_counts(df, columns).select("column", F.coalesce("value", F.lit("")).alias("__v"), F.col("value").isNull().alias("__null"), "n")
+    counts = counts.withColumn("__one", F.lit(1).cast("bigint"))
+    placed = positions(counts, ["column", "__null", "__v"], weights=["__one"]).withColumnRenamed("__before__one", "index")
+    long = df.select(*[col(k) for k in key], *[col(c).cast("string").alias(c) for c in columns]).unpivot(list(key), list(columns), "column", "value")
+    long = long.select(*key, "column", F.coalesce("value", F.lit("")).alias("__v"), F.col("value").isNull().alias("__null"))
+    ones = lookup_join(long, placed.select("column", "__v", "__null", "n", "index"), ["column", "__v", "__null"], "n")
+    values = placed.select("column", F.when(~F.col("__null"), F.col("__v")).alias("value"), "index")
+    return ones.select(*key, "index"), values
+
+
 def one_hot(df: DataFrame, categories: Mapping[str, Sequence]) -> tuple[DataFrame, list[str]]:
     """Replace columns by 0/1 indicators; returns the frame and the new names."""
     new = {indicator_name(c, v): indicator(c, v) for c, values in categories.items() for v in values}
@@ -82,9 +127,10 @@ def one_hot_encoder(
     columns: Sequence[str] | None = None,
     null_column: bool = True,
     drop_first: bool = False,
+    limit: int = MAX_INDICATORS,
 ) -> tuple[DataFrame, list[str]]:
     """Learn the categories of the text columns and encode them."""
-    return one_hot(df, learn_categories(df, columns, null_column, drop_first))
+    return one_hot(df, learn_categories(df, columns, null_column, drop_first, limit))
 
 
 @dataclass(frozen=True)
@@ -147,18 +193,22 @@ def _encode_many(df: DataFrame, columns: Sequence[str], order: Column | None, mi
     ids = [] if order is None else ["__order"]
     rows = df.select(*text) if order is None else df.select(order.alias("__order"), *text)
     long = rows.unpivot(ids, columns, "column", "value").where(F.col("value").isNotNull())
-    learned = long.groupBy("column", "value").agg(F.min(first).alias("first"))
-    found = learned.limit(MAX_INDICATORS + 1).collect()
-    if len(found) > MAX_INDICATORS:
-        for c in columns:
-            df = _codes(df, c, order, missing, MAX_INLINE_CODES).apply(df)
-        return df
-    values: dict[str, list] = {c: [] for c in columns}
-    for row in sorted(found, key=lambda r: r["first"]):
-        values[row["column"]].append(row["value"])
-    return df.withColumns(
-        {c: Codes(c, missing, inline={v: i for i, v in enumerate(vs)}).expr() for c, vs in values.items()}
-    )
+    learned = checkpoint(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("first")))
+    sizes = {r["column"]: r["values"] for r in learned.groupBy("column").agg(F.count(F.lit(1)).alias("values")).collect()}
+    inline = [c for c in columns if sizes.get(c, 0) <= MAX_INLINE_CODES]
+    values: dict[str, list] = {c: [] for c in inline}
+    if inline:
+        few = learned.where(F.col("column").isin(inline)).collect()  # at most MAX_INLINE_CODES rows per column
+        for row in sorted(few, key=lambda r: r["first"]):
+            values[row["column"]].append(row["value"])
+    for c in columns:
+        if c not in values:  # a code table, placed by a distributed sort and joined
+            own = learned.where(F.col("column") == c).select(F.col("value").alias(c), "n", "first", F.lit(1).cast("bigint").alias("__one"))
+            placed = positions(own, ["first"], weights=["__one"])
+            table = placed.select(col(c), "n", F.col("__before__one").cast("int").alias("code"))
+            df = Codes(c, missing, table=table).apply(df)
+    coded = {c: Codes(c, missing, inline={v: i for i, v in enumerate(vs)}).expr() for c, vs in values.items()}
+    return df.withColumns(coded) if coded else df
 
 
 def label_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -180,14 +230,41 @@ def label_encode_binary(df: DataFrame) -> tuple[DataFrame, list[str]]:
 
     A null counts as a value; where one is among the two it is coded last.
     """
-    counts = learn_counts(df, text_columns(df))
-    chosen = [c for c, values in counts.items() if len(values) <= 2]
+    columns = text_columns(df)
+    if not columns:
+        return df, []
+    ends = df.agg(
+        *[f(col(c)).alias(f"{name}{i}") for i, c in enumerate(columns) for name, f in (("lo", F.min), ("hi", F.max))],
+        *[F.count_if(col(c).isNull()).alias(f"null{i}") for i, c in enumerate(columns)],
+    ).first()
+    # At most two values: every value is the smallest or the largest.
+    between = [F.count_if((col(c) != ends[f"lo{i}"]) & (col(c) != ends[f"hi{i}"])).alias(f"more{i}") for i, c in enumerate(columns) if ends[f"lo{i}"] is not None]
+    more = df.agg(*between).first().asDict() if between else {}
     exprs = {}
-    for c in chosen:
-        values = sorted(v for v in counts[c] if v is not None)
-        last = len(values) if None in counts[c] else None
-        exprs[c] = Codes(c, last, inline={v: i for i, v in enumerate(values)}).expr()
-    return df.withColumns(exprs) if exprs else df, chosen
+    for i, c in enumerate(columns):
+        values = sorted({v for v in (ends[f"lo{i}"], ends[f"hi{i}"]) if v is not None})
+        missing = len(values) if ends[f"null{i}"] else None
+        if not more.get(f"more{i}", 0) and len(values) + (missing is not None) <= 2:
+            exprs[c] = Codes(c, missing, inline={v: n for n, v in enumerate(values)}).expr()
+    return df.withColumns(exprs) if exprs else df, list(exprs)
+
+
+def _frequent(df: DataFrame, columns: Sequence[str], keep) -> tuple[dict[str, list], dict[str, int]]:
+    """Values of each column that ``keep(column, share)`` holds for, and the number of its values.
+
+    Shares add up to one, so a lower bound on the share bounds what reaches the driver.
+    """
+    counts = checkpoint(category_counts(df, columns))
+    size = counts.groupBy("column").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("values")).collect()
+    rows, values = {r["column"]: r["rows"] for r in size}, {r["column"]: r["values"] for r in size}
+    hit = F.lit(False)
+    for c in columns:
+        if rows.get(c):
+            hit = hit | ((F.col("column") == c) & keep(c, F.col("n"), F.lit(rows[c])))
+    kept: dict[str, list] = {c: [] for c in columns}
+    for r in counts.where(hit).collect():
+        kept[r["column"]].append(r["value"])
+    return kept, values
 
 
 def rare_labels(
@@ -201,13 +278,12 @@ def rare_labels(
 
     Columns with at most ``min_categories`` values are left alone, and so are nulls.
     """
-    counts = learn_counts(df, columns)
+    kept, values = _frequent(df, columns, lambda c, n, rows: n / rows >= min_share)
     exprs = {}
     for c in columns:
-        total = sum(counts[c].values())
-        if len(counts[c]) > min_categories:
-            kept = [v for v, n in counts[c].items() if v is not None and n / total >= min_share]
-            exprs[c] = F.when(col(c).isNull() | col(c).isin(kept), col(c)).otherwise(F.lit(label))
+        if values.get(c, 0) > min_categories:
+            known = [v for v in kept[c] if v is not None]
+            exprs[c] = F.when(col(c).isNull() | col(c).isin(known), col(c)).otherwise(F.lit(label))
     return df.withColumns(exprs) if exprs else df
 
 
@@ -216,13 +292,14 @@ def rare_labels_percent(df: DataFrame, thresholds: Mapping[str, float], label: s
 
     A null is a value like any other.
     """
-    counts = learn_counts(df, list(thresholds))
+    # No value has zero percent: such a threshold merges nothing.
+    columns = [c for c, percent in thresholds.items() if percent > 0]
+    if not columns:
+        return df
+    kept, _ = _frequent(df, columns, lambda c, n, rows: n * 100 / rows > thresholds[c])
     exprs = {}
-    for c, percent in thresholds.items():
-        total = sum(counts[c].values())
-        rare = [v for v, n in counts[c].items() if n * 100 / total <= percent]
-        hit = col(c).isin([v for v in rare if v is not None])
-        if None in rare:
-            hit = hit | col(c).isNull()
-        exprs[c] = F.when(hit, F.lit(label)).otherwise(col(c))
+    for c in columns:
+        known = col(c).isin([v for v in kept[c] if v is not None])
+        common = F.coalesce(known, F.lit(None in kept[c]))
+        exprs[c] = F.when(common, col(c)).otherwise(F.lit(label))
     return df.withColumns(exprs)

@@ -29,10 +29,11 @@ def join_suffixed(
 ) -> DataFrame:
     """Equi-join where columns present on both sides get a suffix."""
     on = list(on)
-    clash = (set(left.columns) & set(right.columns)) - set(on)
+    # Spark compares names without case.
+    clash = ({c.lower() for c in left.columns} & {c.lower() for c in right.columns}) - {c.lower() for c in on}
 
     def renamed(df: DataFrame, suffix: str) -> DataFrame:
-        return df.select(*[col(c).alias(c + suffix) if c in clash else col(c) for c in df.columns])
+        return df.select(*[col(c).alias(c + suffix) if c.lower() in clash else col(c) for c in df.columns])
 
     return renamed(left, suffixes[0]).join(renamed(right, suffixes[1]), on, how)
 

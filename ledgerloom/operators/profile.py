@@ -200,8 +200,8 @@ _FLOAT_BOUND = 3.4028234663852886e38
 
 
 def narrow_types(df: DataFrame) -> DataFrame:
-    """Cast numeric columns to the smallest type whose bounds lie strictly outside the data."""
-    columns = columns_by_type(df, "numeric")
+    """Cast numeric columns to the smallest type whose bounds lie strictly outside the data; decimals stay exact."""
+    columns = [c for c in columns_by_type(df, "numeric") if df.schema[c].dataType.typeName() != "decimal"]
     spans = df.selectExpr(
         *[f"{f}({quote(c)}) AS {f}{i}" for i, c in enumerate(columns) for f in ("min", "max")]
     ).first()

@@ -14,7 +14,7 @@ from ..functions.arithmetic import col
 # Characters kept in a cleaned column name (fixed value).
 _CLEAN = re.compile("[^A-Za-z0-9_]+")
 
-_NUMERIC = {"byte", "short", "integer", "long", "float", "double"}
+_NUMERIC = {"byte", "short", "integer", "long", "float", "double", "decimal"}
 _FLOATING = {"float", "double"}
 
 
@@ -43,8 +43,8 @@ def clean_names(df: DataFrame) -> DataFrame:
 
 
 def columns_by_type(df: DataFrame, kind: str) -> list[str]:
-    """Names of the ``'text'``, ``'numeric'`` or ``'floating'`` columns."""
-    wanted = {"text": {"string"}, "numeric": _NUMERIC, "floating": _FLOATING}[kind]
+    """Names of the ``'text'``, ``'numeric'`` (decimals too), ``'floating'`` or ``'boolean'`` columns."""
+    wanted = {"text": {"string"}, "numeric": _NUMERIC, "floating": _FLOATING, "boolean": {"boolean"}}[kind]
     return [f.name for f in df.schema.fields if f.dataType.typeName() in wanted]
 
 

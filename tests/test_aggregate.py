@@ -33,6 +33,19 @@ def test_functions_match_pandas(groups, frame, function):
         assert (got[k] is None) if pd.isna(v) else got[k] == pytest.approx(v)
 
 
+def test_nan_is_null_and_large_sums_do_not_overflow(spark):
+    df = spark.createDataFrame([(1, float("nan"), 2**62), (1, 2.0, 2**62), (1, None, 2**62)], "k int, v double, n bigint")
+    row = O.summarize(df, ["k"], {"v": ["max", "mean", "sum", "median", "count", "nunique"], "n": ["sum"]}).first()
+    assert tuple(row)[1:] == (2.0, 2.0, 2.0, 1, 1, 3.0 * 2**62, 2.0)
+
+
+def test_decimals_and_booleans_are_in_every_column(spark):
+    df = spark.createDataFrame([(1, True), (1, False)], "k int, b boolean").withColumn("d", F.lit("1.50").cast("decimal(5,2)"))
+    spec = O.every_column(df, ["k"], ["sum"])
+    assert list(spec) == ["b", "d"]
+    assert [float(x) for x in tuple(O.summarize(df, ["k"], spec).first())[1:]] == [1.0, 3.0]
+
+
 def test_size_counts_rows_and_null_keys_are_left_out(groups):
     got = {r["k"]: r["v_SIZE"] for r in O.summarize(groups, ["k"], {"v": ["size"]}).collect()}
     assert got == {"a": 4, "b": 1, "c": 2, "d": 4, "e": 2}

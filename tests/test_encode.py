@@ -64,5 +64,25 @@ def test_rare_labels(spark):
 
 
 def test_too_many_categories_is_an_error_not_a_cut(df):
-    with pytest.raises(ValueError, match="not categories"):
+    with pytest.raises(ValueError, match="more than 2 distinct values in c"):
         learn_counts(df, ["c"], limit=2)
+
+
+def test_the_limit_is_per_column(df):
+    both = df.withColumn("d", F.col("i").cast("string"))
+    assert {c: len(v) for c, v in learn_counts(both, ["c", "d"], limit=8).items()} == {"c": 5, "d": 8}
+
+
+def test_many_values_are_coded_by_a_table(spark):
+    values = [f"v{i:04d}" for i in range(500)]
+    df = spark.createDataFrame([(i, v, "ab"[i % 2]) for i, v in enumerate(reversed(values))], "i int, many string, few string")
+    coded = O.label_encode(df, ["many", "few"])
+    assert [r["many"] for r in coded.orderBy("i").collect()] == list(range(499, -1, -1))
+    assert {r["few"] for r in coded.collect()} == {0, 1}
+
+
+def test_sparse_one_hot_has_a_one_per_row_and_column(df):
+    ones, values = O.one_hot_sparse(df, ["i"], ["c"])
+    names = {r["index"]: r["value"] for r in values.collect()}
+    assert [names[r["index"]] for r in ones.orderBy("i").collect()] == VALUES
+    assert sorted(names) == list(range(len(set(VALUES))))

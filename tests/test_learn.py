@@ -81,6 +81,39 @@ def test_saved_model_scores_the_same(matrix, tmp_path):
     assert a == learn.score_rows(matrix.df, [loaded], ["k"], "s").orderBy("k").collect()
 
 
+def test_patience_looks_on_after_the_best_round():
+    losses = [0.9, 0.8, 0.85, 0.7, 0.75, 0.76, 0.77, 0.6]
+    assert learn.best_round(losses, patience=1) == 2
+    assert learn.best_round(losses, patience=2) == 4
+    assert learn.best_round(losses, patience=4) == 8
+
+
+def test_a_model_cut_short_is_the_model_of_fewer_rounds(matrix):
+    long = learn.boosted_model(matrix.labelled(), "y", SETTINGS)
+    cut, short = learn.first_rounds(long, 2), learn.boosted_model(matrix.labelled(), "y", SETTINGS.with_rounds(2))
+    assert cut.getNumTrees == 2
+    a, b = ({r["k"]: r["s"] for r in learn.score_rows(matrix.df, [m], ["k"], "s").collect()} for m in (cut, short))
+    assert a == pytest.approx(b)
+
+
+def test_a_slow_learner_is_not_stopped_at_once(matrix):
+    tagged = learn.assign_folds(matrix.labelled(), ["k"], 4).withColumn("held", F.col("fold") == 0)
+    slow = learn.BoostSettings(rounds=14, max_depth=2, min_gain=0.0)
+    assert learn.boosted_model(tagged, "y", slow, "held").getNumTrees > 10
+
+
+def test_tuning_takes_any_known_name_and_no_other(matrix):
+    with pytest.raises(ValueError, match="num_leaves"):
+        learn.tune(matrix, {"num_leaves": [3]})
+
+
+def test_booleans_and_decimals_are_features_and_text_is_an_error(spark):
+    df = spark.createDataFrame([(1, 0, True), (2, 1, False)], "k int, y int, b boolean").withColumn("d", F.lit("1.50").cast("decimal(5,2)"))
+    assert learn.build_matrix(df, "k", "y").features == ["b", "d"]
+    with pytest.raises(ValueError, match="encode or exclude these columns first: t"):
+        learn.build_matrix(df.withColumn("t", F.lit("x")), "k", "y")
+
+
 def test_unsupported_settings_are_named():
     assert learn.BoostSettings.from_names({"learning_rate": 0.1, "n_estimators": 7}).rounds == 7
     with pytest.raises(ValueError, match="num_leaves, reg_alpha"):

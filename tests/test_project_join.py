@@ -26,6 +26,12 @@ def test_fill_zero_covers_text(spark):
     assert tuple(O.fill_zero(df).first()) == (0.0, "0")
 
 
+def test_suffixes_are_given_without_regard_to_case(spark):
+    a = spark.createDataFrame([(1, "x")], "k int, A string")
+    b = spark.createDataFrame([(1, "y")], "k int, a string")
+    assert O.join_suffixed(a, b, ["k"]).columns == ["k", "A_x", "a_y"]
+
+
 def test_suffixes_and_flags(spark):
     a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
     b = spark.createDataFrame([(1, "z"), (1, "w")], "k int, v string")
