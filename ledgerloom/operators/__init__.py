@@ -10,6 +10,7 @@ from .aggregate import (
     summarize,
 )
 from .encode import (
+    category_lists,
     category_share_rows,
     first_seen_codes,
     first_seen_encode,

@@ -25,6 +25,10 @@ MAX_INDICATORS = 20_000
 MAX_INLINE_CODES = 200
 
 
+#: Values per column that are known beforehand; None: learn them from the data.
+Known = Mapping[str, Sequence] | None
+
+
 def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
 
@@ -82,6 +86,27 @@ def learn_categories(
     return out
 
 
+def category_lists(
+    df: DataFrame,
+    known: Mapping[str, Sequence] | None,
+    columns: Sequence[str] | None = None,
+    null_column: bool = True,
+    drop_first: bool = False,
+) -> dict[str, list]:
+    """Category lists from ``known`` values per column, or learned where that is None.
+
+    Known values need no pass over the data, and fix the columns of the result
+    whatever the data hold.  A column without known values is an error.
+    """
+    if known is None:
+        return learn_categories(df, columns, null_column, drop_first)
+    columns = text_columns(df) if columns is None else list(columns)
+    if missing := [c for c in columns if c not in known]:
+        raise ValueError(f"no known categories for {', '.join(missing)}")
+    lists = {c: sorted(v for v in known[c] if v is not None)[int(drop_first) :] for c in columns}
+    return {c: values + ([None] if null_column else []) for c, values in lists.items()}
+
+
 def category_share_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Category shares in long form: keys, ``column, value, n, share``, for any number of values.
 

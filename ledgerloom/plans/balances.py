@@ -2,33 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clip_zero, flag, overwrite, regroup, safe_div
 from ..operators.aggregate import Shares, summarize
-from ..operators.encode import learn_categories
+from ..operators.encode import Known, category_lists
 from . import fixed
 
 
-def pos_base(months: DataFrame, categories: Mapping[str, Sequence] | None = None) -> DataFrame:
+def pos_base(months: DataFrame, categories: Known = None) -> DataFrame:
     """One level, with status shares."""
     return summarize(
         months,
         ["SK_ID_CURR"],
         fixed.POS_BASE,
         "POS_",
-        Shares(categories or learn_categories(months)),
+        Shares(category_lists(months, categories)),
         extra={"POS_NEW_COUNT": F.count(F.lit(1))},
     )
 
 
-def pos_flat(months: DataFrame) -> DataFrame:
+def pos_flat(months: DataFrame, categories: Known = None) -> DataFrame:
     """One level, with the shares of all statuses but the first."""
-    categories = learn_categories(months, null_column=False, drop_first=True)
-    return summarize(months, ["SK_ID_CURR"], fixed.POS_FLAT, "", Shares(categories))
+    lists = category_lists(months, categories, null_column=False, drop_first=True)
+    return summarize(months, ["SK_ID_CURR"], fixed.POS_FLAT, "", Shares(lists))
 
 
 def pos_per_loan(months: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,13 +19,12 @@ from ..functions import (
     xor_score,
 )
 from ..operators.aggregate import Shares, Subset, share_exprs, summarize
-from ..operators.encode import learn_categories
+from ..operators.encode import Known, category_lists
 from ..operators.project import fill_zero
 from ..operators.ranking import average_rank
 from ..sources import checkpoint
 from . import fixed
 
-Categories = Mapping[str, Sequence] | None
 
 
 def _status(name: str) -> Column:
@@ -34,18 +32,17 @@ def _status(name: str) -> Column:
 
 
 def _with_monthly_shares(
-    credits: DataFrame, months: DataFrame, statuses: Categories = None
+    credits: DataFrame, months: DataFrame, statuses: Known = None
 ) -> tuple[DataFrame, dict[str, list[str]]]:
     """Month span and status shares per credit, joined to the credits.
 
     Returns the frame and the spec that carries the shares on to the applicant.
     """
-    statuses = statuses or learn_categories(months, ["STATUS"])
     per_credit = summarize(
         months,
         ["SK_ID_BUREAU"],
         {"MONTHS_BALANCE": ["min", "max", "size"]},
-        shares=Shares(statuses),
+        shares=Shares(category_lists(months, statuses, ["STATUS"])),
     )
     carried = {c: ["mean"] for c in per_credit.columns if c.startswith("STATUS_")}
     return credits.join(per_credit, "SK_ID_BUREAU", "left"), carried
@@ -54,8 +51,8 @@ def _with_monthly_shares(
 def bureau_base(
     credits: DataFrame,
     months: DataFrame,
-    categories: Categories = None,
-    statuses: Categories = None,
+    categories: Known = None,
+    statuses: Known = None,
 ) -> DataFrame:
     """All, active and closed credits per applicant in one aggregation.
 
@@ -67,7 +64,7 @@ def bureau_base(
         ["SK_ID_CURR"],
         fixed.BUREAU_BASE | carried,
         "BURO_",
-        Shares(categories or learn_categories(credits)),
+        Shares(category_lists(credits, categories)),
         [
             Subset("BURO_NEW_ACTIVE_", _status("Active"), fixed.BUREAU_BASE),
             Subset("BURO_NEW_CLOSED_", _status("Closed"), fixed.BUREAU_BASE),
@@ -123,16 +120,16 @@ def bureau_score(credits: DataFrame, months: DataFrame) -> DataFrame:
     )
 
 
-def bureau_filled(credits: DataFrame, months: DataFrame) -> DataFrame:
+def bureau_filled(credits: DataFrame, months: DataFrame, categories: Known = None, statuses: Known = None) -> DataFrame:
     """Zero-filled inputs, spread and median of the amounts, active / closed subsets."""
     credits, months = _regrouped(fill_zero(credits)), fill_zero(months)
-    df, carried = _with_monthly_shares(credits, months)
+    df, carried = _with_monthly_shares(credits, months, statuses)
     return summarize(
         df,
         ["SK_ID_CURR"],
         fixed.BUREAU_FILLED | carried,
         "BURO_",
-        Shares(learn_categories(credits)),
+        Shares(category_lists(credits, categories)),
         [
             Subset("BURO_ACT_", _status("Active"), fixed.BUREAU_FILLED),
             Subset("BURO_CLS_", _status("Closed"), fixed.BUREAU_FILLED),
@@ -168,12 +165,14 @@ def bureau_behaviour(credits: DataFrame) -> DataFrame:
     return average_rank(checkpoint(counts), "BURO_MAX_DELAYED_PAYMENTS", "BURO_DELAYED_PAYMENTS_TOP_100_NEW")
 
 
-def bureau_filled_with_behaviour(credits: DataFrame, months: DataFrame) -> DataFrame:
+def bureau_filled_with_behaviour(
+    credits: DataFrame, months: DataFrame, categories: Known = None, statuses: Known = None
+) -> DataFrame:
     """Both zero-filled tables side by side."""
-    return fill_zero(bureau_filled(credits, months)).join(bureau_behaviour(credits), "SK_ID_CURR")
+    return fill_zero(bureau_filled(credits, months, categories, statuses)).join(bureau_behaviour(credits), "SK_ID_CURR")
 
 
-def bureau_skew(credits: DataFrame, months: DataFrame, on_zero: str = "null") -> DataFrame:
+def bureau_skew(credits: DataFrame, months: DataFrame, on_zero: str = "null", categories: Known = None) -> DataFrame:
     """Delinquency level from the status code, its shape per credit, and type flags."""
     months = months.withColumns(
         {
@@ -203,12 +202,14 @@ def bureau_skew(credits: DataFrame, months: DataFrame, on_zero: str = "null") ->
         ["SK_ID_CURR"],
         fixed.BUREAU_SKEW,
         "BURO_",
-        Shares(learn_categories(credits, ["CREDIT_ACTIVE"])),
+        Shares(category_lists(credits, categories, ["CREDIT_ACTIVE"])),
         [Subset("ACTIVE_", _status("Active"), fixed.BUREAU_SKEW), Subset("CLOSED_", _status("Closed"), fixed.BUREAU_SKEW)],
     )
 
 
-def bureau_ratios(credits: DataFrame, months: DataFrame, on_zero: str = "null") -> DataFrame:
+def bureau_ratios(
+    credits: DataFrame, months: DataFrame, on_zero: str = "null", categories: Known = None, statuses: Known = None
+) -> DataFrame:
     """Implausible dates removed, debt and overdue ratios, category shares and counts."""
     days = ["DAYS_CREDIT_ENDDATE", "DAYS_ENDDATE_FACT", "DAYS_CREDIT_UPDATE"]
     df = credits.drop("CREDIT_CURRENCY").withColumns(
@@ -228,8 +229,8 @@ def bureau_ratios(credits: DataFrame, months: DataFrame, on_zero: str = "null")
             "NEW_AMT_LIMIT_RATIO": smoothed_ratio("AMT_CREDIT_SUM_LIMIT", "AMT_CREDIT_SUM"),
         }
     )
-    categories = learn_categories(df)
-    df, carried = _with_monthly_shares(df, months)
+    lists = category_lists(df, categories)
+    df, carried = _with_monthly_shares(df, months, statuses)
     return summarize(
-        df, ["SK_ID_CURR"], fixed.BUREAU_RATIOS | carried, "BUREAU_", Shares(categories, ["mean", "sum"])
+        df, ["SK_ID_CURR"], fixed.BUREAU_RATIOS | carried, "BUREAU_", Shares(lists, ["mean", "sum"])
     )

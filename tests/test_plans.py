@@ -38,6 +38,21 @@ def test_known_categories_replace_learning_and_absent_ones_give_zero(pos):
     assert learned[1]["POS_NAME_CONTRACT_STATUS_Active_MEAN"] == 0.5
 
 
+def test_a_column_without_known_categories_is_named(pos):
+    with pytest.raises(ValueError, match="no known categories for NAME_CONTRACT_STATUS"):
+        plans.pos_flat(pos, {"OTHER": ["x"]})
+
+
+def test_known_categories_start_no_job(spark, pos):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("known", "")
+    plans.pos_flat(pos, {"NAME_CONTRACT_STATUS": ["Signed", "Active"]})
+    known = len(tracker.getJobIdsForGroup("known"))
+    spark.sparkContext.setJobGroup("learned", "")
+    plans.pos_flat(pos)
+    assert known == 0 < len(tracker.getJobIdsForGroup("learned"))
+
+
 def test_missing_payment_rules(instalments):
     row = plans.instalment_base(instalments).first()
     assert (row["INSTAL_NEW_DPD_MAX"], row["INSTAL_NEW_DPD_SUM"]) == (10.0, 10.0)
