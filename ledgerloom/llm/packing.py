@@ -4,8 +4,7 @@ Only the number of pieces per length matters to the packing, and there are fewer
 lengths than the capacity, so the search runs on that histogram, whatever the
 corpus.  A bin is built around the largest piece left; its undominated fillings
 are enumerated, largest pieces first, and a branch is cut when the waste so far
-shows that it cannot beat the best packing known.  The first descent, which takes
-the best-fitting filling each time, is the first incumbent.  A filling is used as
+shows that it cannot beat the best packing known, at first that of best fit.  A filling is used as
 often as the counts allow at once.  Documents then find their place from their
 rank among the pieces of their length.
 """
@@ -65,13 +64,39 @@ def fillings(counts: Mapping[int, int], sizes: Sequence[int], gap: int) -> list[
     return [f for _, f in sorted(found, key=lambda x: x[0])[:FILLINGS]]
 
 
+def best_fit(counts: Mapping[int, int], capacity: int) -> list[tuple[Filling, int]]:
+    """Best fit, largest pieces first, for all pieces of a size and all bins of one content at once."""
+    bins: dict[int, dict[Filling, int]] = {}  # by the room that is left
+    for size in sorted(counts, reverse=True):
+        n = counts[size]
+        while n:
+            room = min((g for g, held in bins.items() if g >= size and held), default=capacity)
+            held = bins.get(room, {})
+            filling, many = held.popitem() if held else ((), n)
+            per = room // size  # a bin just added to is the fullest that fits, so it takes all it can
+            whole = min(many, n // per)
+            last = n - whole * per if whole < many else 0  # pieces of a bin that stays unfilled
+            for times, k in ((whole, per), (1 if last else 0, last)):
+                if times:
+                    rest = bins.setdefault(room - k * size, {})
+                    key = (*filling, (size, k))
+                    rest[key] = rest.get(key, 0) + times
+            untouched = many - whole - (1 if last else 0)
+            if filling and untouched:
+                held[filling] = held.get(filling, 0) + untouched
+            n -= whole * per + last
+    return [(filling, times) for held in bins.values() for filling, times in held.items()]
+
+
 def pack_counts(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[Filling, int]]:
     """Fillings and how often each is used; every counted piece is placed, in as few bins as the search finds."""
     left = {s: n for s, n in counts.items() if n > 0}
     total = sum(s * n for s, n in left.items())
     fewest = -(-total // capacity)
-    best: list[tuple[Filling, int]] | None = None
-    best_bins, steps = 0, 0
+    best = best_fit(left, capacity)
+    best_bins, steps = sum(times for _, times in best), 0
+    if best_bins == fewest:
+        return best
 
     def choices(state: dict[int, int]) -> list[tuple[Filling, int, int]]:
         sizes = sorted(state)
@@ -96,14 +121,14 @@ def pack_counts(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tup
         state, bins, waste, path, rest = frames[-1]
         step = next(rest, None)
         steps += 1
-        if step is None or (best is not None and steps > SEARCH_STEPS):
+        if steps > SEARCH_STEPS:
+            break
+        if step is None:
             frames.pop()
-            if best is not None and steps > SEARCH_STEPS:
-                break
             continue
         filling, times, wasted = step
         new_bins, new_waste = bins + times, waste + times * wasted
-        if best is not None and new_waste > (best_bins - 1) * capacity - total:
+        if new_waste > (best_bins - 1) * capacity - total:
             continue  # more waste than one bin fewer would have
         after = dict(state)
         for s, n in filling:
@@ -113,7 +138,7 @@ def pack_counts(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tup
         new_path = (path, filling, times)
         if after:
             frames.append((after, new_bins, new_waste, new_path, iter(choices(after))))
-        elif best is None or new_bins < best_bins:
+        elif new_bins < best_bins:
             best, best_bins = [], new_bins
             while new_path:
                 best.append((new_path[1], new_path[2]))
@@ -121,7 +146,7 @@ def pack_counts(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tup
             best.reverse()
             if best_bins == fewest:
                 break
-    return best or []
+    return best
 
 
 @cache
