@@ -3,7 +3,7 @@
 Two lines at most T edits apart share one of T + 1 segments of the shorter one, at
 nearly the same place.  Lines are indexed by (length, segment number, segment) and
 probed with the substrings that multi-match-aware bounds allow for each length
-difference.  A parity sketch of letter counts, which T edits change in 2 T bits at
+difference.  A sketch of letter counts, which T edits change by 2 T in all at
 most, is part of the join condition, so that lines which only share a segment are
 never put out as pairs.  A banded bit-parallel edit distance settles the rest.
 Texts are not shuffled for any of this but for documents that hold candidates or
@@ -12,6 +12,9 @@ lose lines; a bit set of fixed size, sent to all tasks, tells which these may be
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,53 +24,61 @@ from .common import stored, table
 EDITS = 1
 #: Shorter lines (code points, trimmed) are neither removed nor compared.
 MIN_CHARS = 40
-#: Characters whose counts' parities make up the sketch.
-SKETCH = "etaoinshrdlucmfg"
+#: Characters whose counts make up the sketch, with the bits of a count (a larger count is cut to the largest).
+SKETCH, COUNT_BITS = " etnr", 12
 #: Bits of the document sets that are broadcast (256 kB); a fuller set only lets more documents through.
 SET_BITS = 1 << 21
 
 
+def _let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
 def edit_distance_within(a: Column, b: Column, edits: int) -> Column:
-    """Whether arrays of characters ``a`` (the longer) and ``b`` are at most ``edits`` apart.
+    """Whether texts ``a`` (the longer) and ``b`` are at most ``edits`` apart.
 
     Bit-parallel, banded: bit d of a vector stands for row j - edits + d in
     column j.  Up to the column where the band meets the last row the distance
     is followed along the lowest diagonal, then along the last row.
     """
     width = 2 * edits + 1
-    full = (1 << width) - 1
-    m, n = F.size(a), F.size(b)
+    zero = F.lit(0).cast("bigint")
 
     def bits(x: Column) -> Column:
-        return x.bitwiseAND(F.lit(full).cast("bigint"))
-
-    def has(x: Column, place: Column | int) -> Column:
-        return F.call_function("shiftright", x, place if isinstance(place, Column) else F.lit(place)).bitwiseAND(F.lit(1).cast("bigint"))
-
-    def advance(s: Column, j: Column) -> Column:
-        same = None
-        for d in range(width):
-            row = j - edits + d - 1  # from 0
-            hit = F.when((row >= 0) & F.get(a, row).eqNullSafe(F.get(b, j - 1)), F.lit(1 << d)).otherwise(F.lit(0)).cast("bigint")
-            same = hit if same is None else same.bitwiseOR(hit)
-        vp, vn = s["vp"], s["vn"]
-        d0 = bits((same.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(same).bitwiseOR(vn))
-        hp = bits(vn.bitwiseOR(F.bitwise_not(d0.bitwiseOR(vp))))
-        hn = bits(d0.bitwiseAND(vp))
-        down = F.shiftright(d0, 1)
-        along = j > m - edits
-        last = (m - j + edits).cast("int")  # the bit of row m
-        step = F.when(~along, 1 - has(d0, 2 * edits)).otherwise(has(hp, last) - has(hn, last))
-        return F.struct(
-            bits(hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp)))).alias("vp"),
-            bits(down.bitwiseAND(hp)).alias("vn"),
-            (s["dist"] + step).alias("dist"),
-        )
-
-    start = F.struct(
-        F.lit(((1 << (edits + 1)) - 1) << edits).cast("bigint").alias("vp"), F.lit(0).cast("bigint").alias("vn"), F.lit(edits).cast("bigint").alias("dist")
-    )
-    return F.aggregate(F.sequence(F.lit(1), n), start, advance, lambda s: s["dist"] <= edits)
+        return x.bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
+
+    def bit(x: Column, place: Column) -> Column:
+        return F.call_function("shiftright", x, place).bitwiseAND(F.lit(1).cast("bigint"))
+
+    def within(t: Column) -> Column:
+        p, q, m = t["p"], t["q"], t["m"]
+
+        def same(c: Column, at: Column) -> Column:  # at: the column, from 0
+            hits = [F.when((at >= edits - d) & F.get(p, at - edits + d).eqNullSafe(c), F.lit(1 << d).cast("bigint")).otherwise(zero) for d in range(width)]
+            return reduce(Column.bitwiseOR, hits)
+
+        def advance(s: Column, x: Column) -> Column:
+            eq, vp, vn = x["eq"], s["vp"], s["vn"]
+            last = m - x["j"] + edits  # the bit of the last row, once the band has met it
+
+            def step(d0: Column) -> Column:
+                hp, hn, down = vn.bitwiseOR(F.bitwise_not(d0.bitwiseOR(vp))), d0.bitwiseAND(vp), F.shiftright(d0, 1)
+                change = F.when(x["j"] <= m - edits, 1 - bit(d0, F.lit(2 * edits))).otherwise(bit(hp, last) - bit(hn, last))
+                return F.struct(
+                    bits(hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp)))).alias("vp"),
+                    bits(down.bitwiseAND(hp)).alias("vn"),
+                    (s["dist"] + change).alias("dist"),
+                )
+
+            return _let(bits((eq.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(eq).bitwiseOR(vn)), step)
+
+        columns = F.transform(q, lambda c, at: F.struct(same(c, at).alias("eq"), (at + 1).alias("j")))
+        first = F.lit(((1 << (edits + 1)) - 1) << edits).cast("bigint")
+        start = F.struct(first.alias("vp"), zero.alias("vn"), F.lit(edits).cast("bigint").alias("dist"))
+        return F.aggregate(columns, start, advance, lambda s: s["dist"] <= edits)
+
+    return _let(F.struct(F.split(a, "").alias("p"), F.split(b, "").alias("q"), F.length(a).alias("m")), within)
 
 
 def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
@@ -94,9 +105,13 @@ def _keys(line: Column, length: Column, edits: int) -> tuple[list[Column], list[
 
 
 def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``id, th, pos, line, length``: the lines that count, trimmed and in lower case."""
-    split = docs.select("id", "th", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
-    clean = split.select("id", "th", "pos", F.lower(F.trim("raw")).alias("line"))
+    """``id, th, pos, line, length``: the lines that count, trimmed and in lower case.
+
+    A text is lower-cased as a whole: a case mapping named below would be worked
+    out anew wherever its result is used.
+    """
+    split = docs.select("id", "th", F.posexplode(F.split(F.lower("text"), "\n")).alias("pos", "raw"))
+    clean = split.select("id", "th", "pos", F.trim("raw").alias("line"))
     return clean.withColumn("length", F.length("line")).where(F.col("length") >= min_chars)
 
 
@@ -123,24 +138,23 @@ def similar_lines(occurrences: DataFrame, edits: int) -> DataFrame:
 
     ``occurrences`` has ``h, line, length``.  Copies of a line are one row before the join.
     """
-    sketch = None
-    for k, c in enumerate(SKETCH):
-        odd = F.call_function("shiftleft", (F.col("length") - F.length(F.replace("line", F.lit(c), F.lit("")))) % 2, F.lit(k))
-        sketch = odd if sketch is None else sketch.bitwiseOR(odd)
+    most = (1 << COUNT_BITS) - 1
+    counts = [F.least(F.col("length") - F.length(F.replace("line", F.lit(c), F.lit(""))), F.lit(most)).cast("bigint") for c in SKETCH]
+    sketch = reduce(Column.bitwiseOR, [F.call_function("shiftleft", n, F.lit(k * COUNT_BITS)) for k, n in enumerate(counts)])
     own, others = _keys(F.col("line"), F.col("length"), edits)
+    keys = [F.struct(key.alias("key"), F.lit(i >= len(own)).alias("probe")) for i, key in enumerate([*own, *others])]
+    rows = occurrences.select("h", sketch.alias("sketch"), F.array(*keys).alias("keys"))
+    rows = stored(rows.select("h", "sketch", F.inline("keys")).distinct(), "line-keys")
 
-    def keyed(keys: list[Column]) -> DataFrame:
-        rows = occurrences.select("h", sketch.alias("sketch"), F.array(*keys).alias("keys")).select("h", "sketch", F.explode("keys").alias("key"))
-        return rows.distinct()
+    def count(x: str, k: int) -> Column:
+        return F.shiftright(x, k * COUNT_BITS).bitwiseAND(F.lit(most).cast("bigint"))
 
-    index, probes = keyed(own), keyed(others)
-    near = F.bit_count(F.col("sketch").bitwiseXOR(F.col("sketch2"))) <= 2 * edits
-    left = index.withColumnRenamed("h", "a")
-    equal_length = index.select(F.col("key").alias("key2"), F.col("h").alias("b"), F.col("sketch").alias("sketch2"))
-    longer = probes.select(F.col("key").alias("key2"), F.col("h").alias("b"), F.col("sketch").alias("sketch2"))
-    first = left.hint("shuffle_merge").join(equal_length, (F.col("key") == F.col("key2")) & (F.col("a") < F.col("b")) & near)
-    second = left.hint("shuffle_merge").join(longer, (F.col("key") == F.col("key2")) & (F.col("a") != F.col("b")) & near)
-    return first.select("a", "b").union(second.select("a", "b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    far = reduce(Column.__add__, [F.abs(count("sketch", k) - count("sketch2", k)) for k in range(len(SKETCH))])
+    left = rows.where("NOT probe").select("key", F.col("h").alias("a"), "sketch")
+    right = rows.select(F.col("key").alias("key2"), F.col("h").alias("b"), F.col("sketch").alias("sketch2"), "probe")
+    once = (F.col("a") < F.col("b")) | (F.col("probe") & (F.col("a") != F.col("b")))
+    met = left.hint("shuffle_merge").join(right, (F.col("key") == F.col("key2")) & once & (far <= 2 * edits))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def drop_lines(
@@ -183,7 +197,7 @@ def drop_lines(
     longer = F.length("x") >= F.length("y")
     both = both.select(
         "a", "a2", "b", "b2", "first_a", "first_b",
-        F.split(F.when(longer, F.col("x")).otherwise(F.col("y")), "").alias("p"), F.split(F.when(longer, F.col("y")).otherwise(F.col("x")), "").alias("q"),
+        F.when(longer, F.col("x")).otherwise(F.col("y")).alias("p"), F.when(longer, F.col("y")).otherwise(F.col("x")).alias("q"),
     )
     linked = both.where(edit_distance_within(F.col("p"), F.col("q"), edits))
     later = linked.select(
@@ -201,22 +215,23 @@ def drop_lines(
     gone = (
         places.join(marks.select("h", "h2", "first", "near"), ["h", "h2"]).where(F.col("near") | (where != F.col("first"))).select("id", "th", "pos")
     )
-    removed = checkpoint(gone.groupBy("id", "th").agg(F.collect_set("pos").alias("gone")))
+    removed = gone.groupBy(F.col("id").alias("__gone_id"), F.col("th").alias("__gone_th")).agg(F.collect_set("pos").alias("__gone"))
+    removed = checkpoint(removed)
 
     # Texts that lose nothing are not shuffled.
     key = F.xxhash64(F.col(id_col).cast("bigint"))
     known = {"__id": F.col(id_col).cast("bigint"), "__th": th}
     base = docs.withColumns(known)
-    hit = F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & _in_set(_set_of(removed, F.xxhash64("id")), key)
+    hit = F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & _in_set(_set_of(removed, F.xxhash64("__gone_id")), key)
     split = F.split(F.col(text_col), "\n")
     count = F.coalesce(F.size(split), F.lit(0)).cast("bigint")
     count = F.when(F.col(text_col).isNull(), F.lit(0).cast("bigint")).otherwise(count)
     whole = base.where(~hit).select(*docs.columns, count.alias("__lines"), F.lit(0).cast("bigint").alias("__removed"))
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("gone")), lambda i: F.get(split, i))
-    changed = base.where(hit).join(removed, (F.col("__id") == removed["id"]) & (F.col("__th") == removed["th"]), "left").select(
-        *[F.when(F.col("gone").isNull(), F.col(c)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col else F.col(c) for c in docs.columns],
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__gone")), lambda i: F.get(split, i))
+    changed = base.where(hit).join(removed, (F.col("__id") == F.col("__gone_id")) & (F.col("__th") == F.col("__gone_th")), "left").select(
+        *[F.when(F.col("__gone").isNull(), F.col(c)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col else F.col(c) for c in docs.columns],
         count.alias("__lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("__removed"),
+        F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("bigint").alias("__removed"),
     )
     return whole.union(changed)
 
