@@ -28,11 +28,13 @@ from .common import arrow, bucket, slices, stored, table
 FOLDS = 5
 #: Examples per class (toxic, other): the labelled rows whose id hashes lowest.
 EXAMPLES = (1500, 3000)
-TERMS = 3000
+TERMS = 1000
 MIN_DOCS = 4
 GRAMS = (4, 5, 6)
 NEIGHBOURS = 15
 BLOCK = 64
+#: Blocks scored before bounds are compared with the k-th best cosine.
+FIRST_BLOCKS = 4
 
 #: Everything but letters and digits of any script parts words.
 _NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -117,9 +119,10 @@ class BlockMaxIndex:
     def build(cls, ids: np.ndarray, labels: np.ndarray, rows: np.ndarray, terms: np.ndarray, weights: np.ndarray, size: int) -> BlockMaxIndex:
         # Examples led by the same term share blocks, so that bounds differ between blocks.
         lead = np.full(len(ids), size)
-        for r in np.unique(rows):
-            mine = rows == r
-            lead[r] = terms[mine][np.argmax(weights[mine])]
+        best = np.lexsort((terms, -weights, rows))
+        if len(best):
+            top = best[np.append(True, rows[best][1:] != rows[best][:-1])]
+            lead[rows[top]] = terms[top]
         order = np.lexsort((ids, lead))
         place = np.empty(len(ids), np.int64)
         place[order] = np.arange(len(ids))
@@ -132,26 +135,41 @@ class BlockMaxIndex:
         np.maximum.at(most, terms * blocks + example // BLOCK, weights)
         return cls(ids[order], labels[order], edges, most.reshape(size, blocks), example, weights)
 
+    def _cosines(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Examples of the blocks and their cosines, from the postings of these terms in these blocks alone."""
+        cell = (terms[:, None] * self.most.shape[1] + blocks[None, :]).ravel()
+        start, many = self.edges[cell], self.edges[cell + 1] - self.edges[cell]
+        total = np.cumsum(many)
+        at = np.arange(total[-1] if len(total) else 0) + np.repeat(start - (total - many), many)
+        sums = np.bincount(self.example[at], np.repeat(np.repeat(weights, len(blocks)), many) * self.weight[at], len(self.ids))
+        found = np.flatnonzero(sums > 0)
+        return found, sums[found]
+
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of largest positive cosine, ties to the smaller id; ``but`` is an id to leave out."""
+        """The ``k`` examples of largest positive cosine, ties to the smaller id; ``but`` is an id to leave out.
+
+        The blocks of the largest bounds give a first k-th best cosine; of the
+        others, those whose bound reaches it are scored too.
+        """
         bound = weights @ self.most[terms]
-        blocks = self.most.shape[1]
-        found, scores = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(scores) >= k and bound[b] < scores[k - 1] - 1e-12):
-                break
-            cosine = np.zeros(min(BLOCK, len(self.ids) - b * BLOCK))
-            for t, w in zip(terms, weights):
-                lo, hi = self.edges[t * blocks + b], self.edges[t * blocks + b + 1]
-                if hi > lo:
-                    cosine[self.example[lo:hi] - b * BLOCK] += w * self.weight[lo:hi]
-            hit = np.flatnonzero(cosine > 0)
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+
+        def best(found: np.ndarray, cosine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             if but is not None:
-                hit = hit[self.ids[hit + b * BLOCK] != but]
-            found, scores = np.append(found, hit + b * BLOCK), np.append(scores, cosine[hit])
-            best = np.lexsort((self.ids[found], -np.round(scores, 12)))[:k]
-            found, scores = found[best], scores[best]
-        return found, scores
+                keep = self.ids[found] != but
+                found, cosine = found[keep], cosine[keep]
+            top = np.lexsort((self.ids[found], -np.round(cosine, 12)))[:k]
+            return found[top], cosine[top]
+
+        found, cosine = best(*self._cosines(terms, weights, order[:FIRST_BLOCKS]))
+        least = cosine[k - 1] - 1e-9 if len(cosine) >= k else 0.0
+        rest = order[FIRST_BLOCKS:]
+        rest = rest[bound[rest] >= least]
+        if len(rest):
+            more, near = self._cosines(terms, weights, rest)
+            found, cosine = best(np.append(found, more), np.append(cosine, near))
+        return found, cosine
 
 
 def vote(index: BlockMaxIndex, found: np.ndarray, cosine: np.ndarray) -> float:
