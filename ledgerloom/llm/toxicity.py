@@ -292,6 +292,19 @@ def term_counts(docs: DataFrame, vocabulary: Sequence[str]) -> DataFrame:
     return arrow(docs.select("id", "text", "held"), step, "id bigint, held boolean, terms array<int>, counts array<int>")
 
 
+def holding_documents(known: DataFrame, terms: int) -> DataFrame:
+    """``term, n``: the number of rows that hold each term, added up in the tasks first."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(terms, np.int64)
+        for b in batches:  # a row lists each of its terms once
+            total += np.bincount(b.column(0).flatten().to_numpy(), minlength=terms)
+        met = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(total[met])], names=["term", "n"])
+
+    return arrow(known.select("terms"), step, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+
+
 def _flat(b: pa.RecordBatch, terms: int, counts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     column = b.column(terms)
     rows = np.repeat(np.arange(b.num_rows), np.diff(column.offsets.to_numpy()))
@@ -304,7 +317,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: tuple[int, int] = EXAMP
     vocabulary = choose_terms(examples, terms, MIN_DOCS)
     known = stored(term_counts(docs, vocabulary), "toxic-terms")
     n = known.count()
-    holding = known.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    holding = holding_documents(known, len(vocabulary))
     idf = np.full(len(vocabulary), np.log(n + 1.0))
     for r in holding.collect():  # one row per term of the vocabulary
         idf[r["term"]] = np.log((n + 1) / (r["n"] + 0.5))
