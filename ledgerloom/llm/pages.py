@@ -15,6 +15,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from math import exp, log
 
 import pyarrow as pa
@@ -47,11 +48,18 @@ BOILERPLATE_NAMES = re.compile(
     r"social|sponsor\w*|subscribe|tags?|teaser|toolbar|topbar|trending|widgets?)(?![a-z])",
     re.I,
 )
+#: Words that make a content name that of a part beside the content ("post-footer"), and names that tell a topic or a layout.
+PART_NAMES = re.compile(r"(?<![a-z])(comments?|commentlist|related|side|sidebar|sidenav|foot|footer|nav\w*|menu|promo\w*|share|sharing|sponsor\w*|ads?)(?![a-z])", re.I)
+TOPICS = re.compile(r"(tag|category|cat|topic|author|type|status|format|has|no|with|without)-", re.I)
 HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:false|until))|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 #: What an element around a block says, as log-odds of content; the innermost saying of each kind holds.
 BOILERPLATE_TAGS = {"nav": -8.0, "footer": -8.0, "aside": -8.0, "form": -8.0, "menu": -8.0, "dialog": -8.0, "fieldset": -8.0, "header": -6.0}
 CONTENT_TAGS = {"article": 4.0, "main": 3.0}
 NAMED_BOILERPLATE, NAMED_CONTENT = -8.0, 2.5
+#: What a boilerplate name says inside a content element, whatever is around: text odds and neighbours can outweigh it.
+NAMED_INSIDE = -1.5
+#: Names of these are about the page or its topic ("right-sidebar", "tag-president"); only content names count there.
+WHOLE_TAGS = frozenset(("html", "body", "article", "main"))
 
 NEIGHBOUR, SAME_PARENT, COUSIN = 0.3, 0.9, 0.5
 LIMIT = 3.0
@@ -75,20 +83,24 @@ class Block:
     labelled: int  # 1 inside an article-like, 0 inside a menu-like element, -1 neither
 
 
-def _says(tag: str, attributes: str, inside: float) -> tuple[float, int]:
-    """Log-odds that an element adds (0: says nothing) and, for the counts, its kind."""
-    if tag in BOILERPLATE_TAGS and not (tag == "header" and inside > 0):
+@lru_cache(4096)
+def _says(tag: str, attributes: str, inside: bool) -> tuple[float, int]:
+    """Log-odds that an element adds (0: says nothing) and, for the counts, its kind (2: unsure)."""
+    if tag in BOILERPLATE_TAGS and not (tag == "header" and inside):
         return BOILERPLATE_TAGS[tag], 0
     if attributes:
         names = " ".join(x for m in _NAMES.finditer(attributes) for x in m.groups() if x)
         if names:
             content = CONTENT_NAMES.search(names)
-            if not content and BOILERPLATE_NAMES.search(names.replace("_", "-")) and tag not in ("html", "body"):
-                return NAMED_BOILERPLATE, 0
-            if content and re.search(r"comment|related|side|foot|nav|menu|promo|share|sponsor|\bads?\b", names, re.I):
-                return NAMED_BOILERPLATE, 0
+            if tag not in WHOLE_TAGS and not content and BOILERPLATE_NAMES.search(names.replace("_", "-")):
+                return (NAMED_INSIDE, 2) if inside else (NAMED_BOILERPLATE, 0)
+            if tag not in WHOLE_TAGS and content:
+                against = [x for x in names.replace("_", "-").split() if not TOPICS.match(x) and PART_NAMES.search(x)]
+                if against:
+                    part = any(CONTENT_NAMES.search(x) for x in against)  # "post-footer", as opposed to "post right-sidebar"
+                    return (NAMED_BOILERPLATE, 0) if part and not inside else (NAMED_INSIDE, 2)
             if content:
-                return max(NAMED_CONTENT, CONTENT_TAGS.get(tag, 0)), 1
+                return max(NAMED_CONTENT, CONTENT_TAGS.get(tag, 0)), -1 if tag in ("html", "body") else 1
     return (CONTENT_TAGS[tag], 1) if tag in CONTENT_TAGS else (0.0, -1)
 
 
@@ -107,10 +119,11 @@ def blocks_of(page: str) -> list[Block]:
             if text:
                 holder = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCK_TAGS or not k), 0)
                 above = next((k for k in range(holder - 1, -1, -1) if stack[k][0] in BLOCK_TAGS or not k), 0)
-                hint = sum(e[2] for e in stack[: holder + 1])
                 worst = min(e[2] for e in stack)
-                kind = 0 if worst <= -6 else next((e[3] for e in reversed(stack) if e[3] >= 0), -1)
-                out.append(Block(text, stack[holder][0], min(linked, len(text)), stack[above][1], stack[max(above - 1, 0)][1], worst if worst <= -6 else min(hint, 5.0), kind))
+                unsure = any(e[3] == 2 for e in stack)
+                hint = worst if worst <= -6 else NAMED_INSIDE if unsure else min(sum(e[2] for e in stack[: holder + 1]), 5.0)
+                kind = 0 if worst <= -6 else -1 if unsure else next((e[3] for e in reversed(stack) if e[3] >= 0), -1)
+                out.append(Block(text, stack[holder][0], min(linked, len(text)), stack[above][1], stack[max(above - 1, 0)][1], hint, kind))
         pieces.clear()
         linked = 0
 
@@ -170,7 +183,7 @@ def blocks_of(page: str) -> list[Block]:
             end = _END[tag].search(page, at)
             at = end.end() if end else n
             continue
-        inside = sum(e[2] for e in stack)
+        inside = sum(e[2] for e in stack if e[3] >= 0) > 0
         says, kind = _says(tag, attributes, inside)
         made += 1
         silent = stack[-1][4] or tag in SILENT_TAGS or bool(attributes and HIDDEN.search(attributes))

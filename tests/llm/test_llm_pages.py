@@ -49,6 +49,34 @@ def test_pages_without_semantic_tags():
     assert text == f"{PARAGRAPH}\n\n{PARAGRAPH}"
 
 
+def test_names_of_a_page_or_its_topic_lose_no_text():
+    side = f"<div class='sidebar'><p>Aside. {PARAGRAPH}</p></div><footer>c</footer>"
+    whole = (
+        f"<body class='single-post right-sidebar'><header>Site</header><div class='content'><p>{PARAGRAPH}</p></div>{side}</body>",
+        f"<body class='home no-sidebar'><article><p>{PARAGRAPH}</p></article>{side}</body>",
+        f"<article class='post category-football'><p>{PARAGRAPH}</p></article>{side}",
+        f"<article class='post tag-president'><p>{PARAGRAPH}</p></article>{side}",
+        f"<article class='related'><p>{PARAGRAPH}</p></article>{side}",
+        f"<div class='post category-football tag-share'><p>{PARAGRAPH}</p></div>{side}",
+        f"<main class='content has-sidebar'><p>{PARAGRAPH}</p></main>{side}",
+    )
+    for html in whole:
+        assert pages.main_text(f"<html><head><title>t</title></head>{html}</html>", {}) == PARAGRAPH, html
+    assert pages.main_text(page(f"<div class='post-footer'><p>{PARAGRAPH}</p></div><div class='content-sidebar'><p>{PARAGRAPH}</p></div>"), {}) == ""
+
+
+def test_text_outweighs_names_inside_an_article():
+    odds = {"tag p": 2.0, "tag h1": 2.0, "tag h2": 2.0, "links 3": -4.0}
+    text = pages.main_text(
+        page(
+            f"<article><h1 class='header'>Head</h1><p>{PARAGRAPH}</p><section id='related-work'><h2>Related work</h2><p>More. {PARAGRAPH}</p></section>"
+            f"<div class='share'><a href=/s>Share</a></div><nav><p>{PARAGRAPH}</p></nav></article><div class='related'><p>{PARAGRAPH}</p></div>"
+        ),
+        odds,
+    )
+    assert text == f"Head\n\n{PARAGRAPH}\n\nRelated work\n\nMore. {PARAGRAPH}"
+
+
 def test_broken_markup_is_read_to_the_end():
     for broken in ("<p>a <b", "<p>a </b></i></p></div>", "<!-- open", "<script>never closed", "<a href='x>y</a>", "a < b & c &bogus; &#xZZ;", "<" * 500, "<p " * 2000, "</p>" * 50):
         assert isinstance(pages.main_text(page(f"<article><p>{PARAGRAPH}</p>{broken}</article>"), {}), str)
