@@ -49,8 +49,8 @@ LIKELY_WIDE = {"email": r"@|[(\[{] ?at ?[)\]}]", "ip": r"[0-9] ?[.]|[0-9A-Fa-f]:
 #: Two characters that no text should hold; where one does, it counts as U+FFFD.
 _OPEN, _CLOSE, _OTHER = chr(0xFDD0), chr(0xFDD1), chr(0xFFFD)
 CONTEXT = 24
-#: Labelled spans that the trees learn from, and that thresholds are set on: those with the lowest hashes.
-TRAINING, HELD = 20_000, 10_000
+#: Labelled spans of each kind that the trees learn from: those with the lowest hashes.  Thresholds are set on all held-out spans.
+TRAINING = 20_000
 TREES, DEPTH = 20, 4
 PRECISION = 0.98
 
@@ -148,13 +148,18 @@ def described(spans: DataFrame) -> DataFrame:
 
 
 def _sample(rows: DataFrame, most: int) -> DataFrame:
-    return rows.orderBy(F.xxhash64("id", "kind", "start"), "id", "th", "kind", "start").limit(most)
+    """At most ``most`` rows of each kind; each is a limit of its own, taken in every task before the last sort."""
+    out = None
+    for kind in KINDS:
+        some = rows.where(F.col("kind") == kind).orderBy(F.xxhash64("id", "kind", "start"), "id", "th", "kind", "start").limit(most)
+        out = some if out is None else out.union(some)
+    return out
 
 
 def train(labelled: DataFrame) -> tuple[GBTClassificationModel | None, dict[str, float]]:
     """Trees and the threshold of each kind; no trees where only one label occurs."""
     hashed = F.pmod(F.xxhash64("th", "start"), F.lit(10))
-    learning, held = checkpoint(_sample(labelled.where(hashed >= 3), TRAINING)), _sample(labelled.where(hashed < 3), HELD)
+    learning, held = checkpoint(_sample(labelled.where(hashed >= 3), TRAINING)), labelled.where(hashed < 3)
     if learning.select("label").distinct().count() < 2:
         return None, {}
     assembler = VectorAssembler(inputCols=list(_FEATURES), outputCol="features")

@@ -84,6 +84,14 @@ def test_trees_add_likely_spans_only(spark):
     assert sum(bool(got[1000 + i]["added"]) for i in range(400)) < 40
 
 
+def test_a_rare_kind_keeps_its_threshold_beside_a_hot_one(spark):
+    rows = spark.range(100_000).select("id", F.lit("card").alias("kind"), F.concat(F.lit("4000 0000 "), F.col("id") + 10**8).alias("span"), F.lit(0.0).alias("label"))
+    rare = spark.range(120).select(F.col("id") + 10**6, F.lit("phone"), F.concat(F.lit("+1 (434) 555-"), F.col("id") + 1000), F.lit(1.0))
+    spans = rows.union(rare).select("*", F.xxhash64("id").alias("th"), F.lit(9).alias("start"), F.lit("call ").alias("before"), F.lit(" now").alias("after"))
+    model, limits = private.train(private.described(spans))
+    assert model is not None and "phone" in limits and "card" not in limits
+
+
 def test_plan_has_no_python(spark, sf_dir):
     plan = private.op9_pii(spark, sf_dir)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "ArrowEval", "Pandas", "Cartesian", "NestedLoop"))
