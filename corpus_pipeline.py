@@ -23,8 +23,11 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines met before; ``n_chars`` follows the text where that changed."""
-    less = drop_lines(docs)
+    """All documents, without lines met before; ``n_chars`` follows the text where that changed.
+
+    Exact repeats of all lines but blank ones go, repeats up to two edits of the longer ones.
+    """
+    less = drop_lines(docs, edits=2, repeats_from=1)
     if "n_chars" in docs.columns:
         size = F.when(F.col("__removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
         less = less.withColumn("n_chars", size)

@@ -22,7 +22,7 @@ from ..sources import checkpoint
 from .common import stored, table
 
 EDITS = 1
-#: Shorter lines (code points, trimmed) are neither removed nor compared.
+#: Shorter lines (code points, trimmed) are not compared, and removed only as exact repeats where a caller asks for that.
 MIN_CHARS = 40
 #: Characters whose counts make up the sketch, with the bits of a count (a larger count is cut to the largest).
 SKETCH, COUNT_BITS = " etnr", 12
@@ -158,14 +158,15 @@ def similar_lines(occurrences: DataFrame, edits: int) -> DataFrame:
 
 
 def drop_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, repeats_from: int | None = None
 ) -> DataFrame:
     """``docs`` with ``text_col`` less the lines met before, plus ``__lines`` and ``__removed`` (numbers of lines).
 
     Lines are parted by line feeds and compared trimmed and in lower case.  A
     line of ``min_chars`` or more goes if the same line, or one at most ``edits``
     edits away, comes first at an earlier place (smaller id, then earlier in the
-    text).  Shorter lines stay.  Links are judged on the input, so a line may go
+    text).  Of shorter lines, exact repeats go from ``repeats_from`` characters
+    on (1: all but blank lines; None: all shorter lines stay).  Links are judged on the input, so a line may go
     for one that goes itself.  Null texts stay null and have no lines.  Rows with
     a null id stay as they are.  Rows of equal id and text count as one document
     and are treated alike; of an id with several texts the order is by hash.
@@ -174,13 +175,14 @@ def drop_lines(
     spark = docs.sparkSession
     th = F.xxhash64(F.col(text_col))
     slim = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), th.alias("th"), F.col(text_col).alias("text"))
-    lines = _lines(slim, min_chars).withColumn("h", F.xxhash64("line"))
+    least = min_chars if repeats_from is None else min(min_chars, repeats_from)
+    lines = _lines(slim, least).withColumn("h", F.xxhash64("line"))
     places = lines.select("h", F.xxhash64(F.lit(1), "line").alias("h2"), "id", "th", "pos")
     where = F.struct("id", "th", "pos")
     firsts = stored(places.groupBy("h", "h2").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")), "line-firsts")
 
     # Candidates: fetch the first occurrence of each side from the documents that hold one.
-    pairs = stored(similar_lines(lines.select("h", "line", "length"), edits), "line-pairs")
+    pairs = stored(similar_lines(lines.where(F.col("length") >= min_chars).select("h", "line", "length"), edits), "line-pairs")
     asked = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
     asked = checkpoint(firsts.join(asked, "h").select("h", "h2", "first"))
     wanted = asked.select(F.col("first.id").alias("id"), F.col("first.th").alias("th"), F.col("first.pos").alias("pos"), "h", "h2")

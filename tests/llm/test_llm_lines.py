@@ -61,6 +61,16 @@ def test_near_lines_match_brute_force(spark):
         assert got == brute(rows, edits, 8)
 
 
+def test_short_lines_go_as_exact_repeats_where_asked(spark):
+    line = "this line is long enough to be compared with the other ones"
+    rows = [(1, f"Menu\nHome\n\n{line}\nHomes"), (2, f" menu \n\n{line}s\nhome\nOnly here\n\nonly here"), (3, "HOME")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["text"], r["__removed"]) for r in lines.drop_lines(df, repeats_from=1).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("\nOnly here\n", 4), 3: ("", 1)}
+    got = {r["doc_id"]: r["__removed"] for r in lines.drop_lines(df).collect()}
+    assert got == {1: 0, 2: 1, 3: 0}
+
+
 def test_documents_match_brute_force(spark, sf_dir, documents):
     """The only near pairs of the table are found by brute force over lines of like length and letters."""
     got = {r["doc_id"]: r for r in lines.op7_lines(spark, sf_dir).collect()}

@@ -61,6 +61,12 @@ def test_stages_do_their_work_and_keep_the_columns(spark, sf_dir):
     }
 
 
+def test_line_dedup_removes_short_repeats_and_two_edits(spark):
+    line = "this line is long enough to be compared with the other ones"
+    df = spark.createDataFrame([(1, f"Menu\n\nText one\n{line}"), (2, f"Menu\n\nText two\n{line[:9]}{line[10:]}s")], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["text"] for r in P.line_dedup(spark, df, "").collect()} == {1: f"Menu\n\nText one\n{line}", 2: "\nText two"}
+
+
 def test_near_dedup_edges(edge_docs, no_docs, spark):
     got = P.near_dedup(spark, edge_docs, "").collect()
     ids = [r["doc_id"] for r in got]
