@@ -14,6 +14,8 @@ from ..sources.shared import scratch_path
 
 #: Words are runs of anything but these six ASCII white-space characters.
 SPACES = "[\\x20\\x09-\\x0D]+"
+#: Byte by byte: A-Z to lower case, other ASCII but digits and letters to a space; what lies beyond ASCII stays.
+PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in bytes(range(256)).lower())
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,11 +7,15 @@ tests compare them with brute force.
 from __future__ import annotations
 
 from .decontaminate import op8_decontamination
+from .fingerprints import op12_fingerprints
 from .lines import EDITS, MIN_CHARS, op7_lines
 from .ngrams import op4_lm
 from .packing import op6_packing
 from .pages import op3_html
 from .private import op9_pii
+from .resample import BUCKETS, MIN_WORDS, PERCENT, op11_resample
+from .resample import SEED as RESAMPLE_SEED
+from .search import TOP, op13_search
 from .simhash import op10_simhash
 from .substrings import WINDOW, op5_substring
 from .toxicity import op1_toxicity
@@ -21,6 +25,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_toxicity, op2_embedding, op3_html, op4_lm, op5_substring, op6_packing, op7_lines, op8_decontamination, op9_pii, op10_simhash,
+        op11_resample, op12_fingerprints, op13_search,
     )
 }
 
@@ -60,4 +65,42 @@ SELECT l.doc_id, count(*) AS n_lines, count(gone.p) AS n_removed,
 FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.p = l.p GROUP BY l.doc_id
 """
 
-ORACLE: dict[str, str] = {"op2_embedding": _VECTORS, "op5_substring": _SUBSTRINGS, "op7_lines": _LINES}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+# CRC-32 byte by byte, over its usual table of 256 steps.
+_RESAMPLE = f"""
+WITH crc AS (SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)), lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+word AS (SELECT doc_id, unnest(w) AS w FROM d),
+known AS (SELECT DISTINCT w FROM word UNION SELECT DISTINCT w FROM b),
+coded AS (SELECT w, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(0, CAST(strlen(w) AS BIGINT)), lambda i: CAST('0x' || substr(hex(w), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))), lambda a, x: xor(a >> 8, t[CAST((xor(a, x) & 255) + 1 AS BIGINT)]))) % {BUCKETS} AS k FROM known, crc),
+s AS (SELECT k, count(*) AS s FROM word JOIN coded USING (w) GROUP BY k),
+t AS (SELECT k, count(*) AS t FROM b JOIN coded USING (w) GROUP BY k),
+sums AS (SELECT (SELECT count(*) FROM word)::DOUBLE AS s_all, (SELECT count(*) FROM b)::DOUBLE AS t_all),
+gain AS (SELECT k, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (s_all + {BUCKETS}) / ((coalesce(s, 0) + 1.0::DOUBLE) * (t_all + {BUCKETS})))) AS BIGINT) AS g FROM s FULL JOIN t USING (k), sums),
+sum_of AS (SELECT doc_id, count(*) AS n, sum(g) AS g FROM word JOIN coded USING (w) JOIN gain USING (k) GROUP BY doc_id),
+h AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(floor(CAST(g AS DOUBLE) / n), 0) AS BIGINT) AS weight,
+      (CAST('0x' || left(sha256('{RESAMPLE_SEED}:' || doc_id), 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296 AS u FROM d LEFT JOIN sum_of USING (doc_id)),
+scored AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-1000 * ln(-ln(u))) AS BIGINT) AS score FROM h),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () * {PERCENT} // 100 AS take FROM scored WHERE n_features >= {MIN_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= take THEN r END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+_SEARCH = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+q AS (SELECT item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+sums AS (SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_all FROM d WHERE len(w) > 0),
+word AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS w FROM d),
+tf AS (SELECT doc_id, n, w, count(*) AS tf FROM word WHERE w IN (SELECT w FROM q) GROUP BY doc_id, n, w),
+df AS (SELECT w, count(*) AS df FROM tf GROUP BY w),
+qf AS (SELECT item_id, w, count(*) AS qf FROM q GROUP BY item_id, w),
+x AS (SELECT doc_id, w, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_all))) AS x FROM tf JOIN df USING (w), sums),
+s AS (SELECT item_id, doc_id, CAST(sum(qf * x) AS BIGINT) AS score FROM x JOIN qf USING (w) GROUP BY item_id, doc_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= {TOP}
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_embedding": _VECTORS, "op5_substring": _SUBSTRINGS, "op7_lines": _LINES, "op11_resample": _RESAMPLE, "op13_search": _SEARCH,
+}
