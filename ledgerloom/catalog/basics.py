@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import functions as X
 from .. import operators as O
 from .. import plans
+from ..learn.select import correlated_groups
 from ..sources import read_csv, read_snapshot, row_cap, sample_rows, scratch_path, write_csv, write_snapshot
 from .pipes import status_score_block
 from .sqltext import settle
@@ -78,7 +79,7 @@ def sink_csv(spark, d):
     return read_csv(spark, path, "o_custkey bigint, n bigint, total double")
 
 
-@query()
+@query("SELECT * FROM customer ORDER BY md5(c_custkey || '|1001'), c_custkey LIMIT 100")
 def sample_n(spark, d):
     return sample_rows(load(spark, d, "customer"), 100, ["c_custkey"])
 
@@ -981,6 +982,18 @@ def select_correlated(spark, d):
     return _named(spark, O.correlated_columns(_wide_lines(spark, d), 0.9, _CORRELATED))
 
 
+@query(
+    f"WITH RECURSIVE pair AS ({_CORRELATION_SQL}), name AS (SELECT unnest({_CORRELATED!r}) AS c, generate_subscripts({_CORRELATED!r}, 1) AS i), "
+    "link AS (SELECT column_a AS a, column_b AS b FROM pair WHERE abs(corr) > 0.75 UNION ALL SELECT column_b, column_a FROM pair WHERE abs(corr) > 0.75), "
+    "reach AS (SELECT c, c AS other FROM name UNION SELECT reach.c, link.b FROM reach JOIN link ON reach.other = link.a) "
+    "SELECT reach.c AS column_name, arg_min(other, i) AS first_member FROM reach JOIN name ON name.c = other GROUP BY reach.c"
+)
+def select_correlated_groups(spark, d):
+    pairs = O.column_correlations(_wide_lines(spark, d), _CORRELATED)
+    groups = correlated_groups(pairs.withColumn("corr", F.round("corr", 6)), _CORRELATED)
+    return spark.createDataFrame(list(groups.items()), "column_name string, first_member string")
+
+
 @query(
     " UNION ALL ".join(
         f"SELECT '{c}' AS column_name WHERE (SELECT stddev_samp({c}) FROM {_WIDE_SQL}) < 0.1" for c in _WIDE_COLUMNS

@@ -8,6 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from dataclasses import replace
+
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +64,11 @@ def ml_fold_assign(spark, d):
     return learn.assign_folds(load(spark, d, "labels"), ["doc_id"])
 
 
+ORACLE["ml_fold_assign"] = (
+    "SELECT *, CAST(CAST('0x' || left(md5(doc_id || '|1001'), 8) AS BIGINT) % 10 AS INTEGER) AS fold FROM labels"
+)
+
+
 @query
 def ml_fold_stratified(spark, d):
     """Rows per class and fold: as equal as they can be."""
@@ -153,7 +161,81 @@ def ml_grid_search(spark, d):
     save_params(spark, params, path)
     model = learn.refit_from_params(matrix, load_params(spark, path), _SETTINGS)
     scored = learn.score_rows(matrix.labelled(), [model], ["doc_id", "quality"], "score")
-    return table.join(O.roc_auc(scored, "quality", "score").select(F.col("auc").alias("refit_auc")))
+    return table.withColumn("refit_auc", F.lit(O.roc_auc(scored, "quality", "score").first()["auc"]))
+
+
+# Shorter runs than the published ones, whose settings are the defaults.
+_BOOST = learn.HistogramSettings(learning_rate=0.1, rounds=40, max_depth=4, min_child_weight=1.0, patience=5)
+_KEYS = ("doc_id", "quality")
+
+
+def _numbers(spark: SparkSession, d: str) -> tuple[DataFrame, list[str]]:
+    encoded, _ = O.one_hot_encoder(_labelled(spark, d), ["lang", "source"], null_column=False)
+    path = scratch_path(spark, "numbers")
+    write_snapshot(encoded, path)
+    return read_snapshot(spark, path), [c for c in encoded.columns if c not in _KEYS]
+
+
+@query
+def ml_boost_stop(spark, d):
+    """Per fold: AUC, the round kept, and the rounds trained until five in a row gained nothing."""
+    df, features = _numbers(spark, d)
+    return learn.train_folds(df, "doc_id", "quality", features, _BOOST, _K).folds
+
+
+@query
+def ml_boost_saved(spark, d):
+    """Refit at the best fold's round, saved, loaded, and applied to the rows without a label."""
+    df, features = _numbers(spark, d)
+    short = replace(_BOOST, rounds=8)
+    model = learn.refit(df, "quality", features, learn.train_folds(df, "doc_id", "quality", features, short, _K), short)
+    path = scratch_path(spark, "booster")
+    model.save(spark, path)
+    return learn.score_models(df.where("quality IS NULL"), ["doc_id"], [learn.HistogramModel.load(spark, path)])
+
+
+@query
+def ml_tune_staged(spark, d):
+    """The published rates and folds, a tenth of the published rounds: four settings from two fits a fold."""
+    df, features = _numbers(spark, d)
+    grid = {"learning_rate": learn.GRID["learning_rate"], "n_estimators": [n // 10 for n in learn.GRID["n_estimators"]]}
+    return learn.tune_staged(df, "doc_id", "quality", features, grid, learn.TUNING_FOLDS, _BOOST)[1]
+
+
+def _categories(spark: SparkSession, d: str) -> DataFrame:
+    documents = load(spark, d, "documents").selectExpr("doc_id", "lang", "source", "left(text, 2) AS head", "left(text, 3) AS start")
+    return documents.join(load(spark, d, "labels").select(*_KEYS), "doc_id", "left")
+
+
+@query
+def encode_saved_apply(spark, d):
+    """Encoders fitted on labelled rows, saved, loaded, and applied to the others, whose values they may not know."""
+    rows = _categories(spark, d)
+    encoder = learn.Encoder(oneHot=["lang"], label=["start"], rare=["head"], minShare=0.02, rareLabel="other")
+    path = scratch_path(spark, "encoder")
+    Pipeline(stages=[encoder]).fit(rows.where("quality IS NOT NULL")).write().overwrite().save(path)
+    return PipelineModel.load(path).transform(rows.where("quality IS NULL")).drop("quality")
+
+
+ORACLE["encode_saved_apply"] = """
+WITH d AS (SELECT doc_id, lang, source, left(text, 2) AS head, left(text, 3) AS start, quality FROM documents LEFT JOIN labels USING (doc_id)),
+t AS (SELECT * FROM d WHERE quality IS NOT NULL),
+common AS (SELECT head FROM t WHERE head IS NOT NULL GROUP BY head HAVING count(*) / (SELECT count(*) FROM t) >= 0.02),
+many AS (SELECT count(DISTINCT head) > 4 AS yes FROM t),
+codes AS (SELECT start, CAST(row_number() OVER (ORDER BY start) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT start FROM t WHERE start IS NOT NULL))
+SELECT doc_id, source, CASE WHEN head IS NULL OR NOT yes OR head IN (SELECT head FROM common) THEN head ELSE 'other' END AS head, code AS start,
+""" + ", ".join(f"CAST(lang = '{v}' AS INTEGER) AS lang_{v}" for v in ("de", "en", "es", "fr")) + """, CAST(lang IS NULL AS INTEGER) AS lang_nan
+FROM d LEFT JOIN codes USING (start), many WHERE quality IS NULL
+"""
+
+
+@query
+def select_features(spark, d):
+    """Features by tree importance, one of each correlated group, and categories that depend on the label."""
+    matrix = _matrix(spark, d)
+    importance = learn.mean_importance(learn.tree_importances(matrix, _SETTINGS))
+    numeric = ["n_chars", "words", "lines", "digits", "capitals", "stops"]
+    return learn.select_features(_labelled(spark, d), "quality", numeric, ["lang", "source"], importance)
 
 
 @query

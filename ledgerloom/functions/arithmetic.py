@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -30,6 +31,12 @@ def col(c: ColumnLike) -> Column:
     return c if isinstance(c, Column) else F.col(quote(c))
 
 
+def key_digest(key: Sequence[ColumnLike], seed: int) -> Column:
+    """Hex MD5 of the key's values as text, null as empty text, and the seed, joined by ``|``."""
+    parts = [F.coalesce(col(k).cast("string"), F.lit("")) for k in key]
+    return F.md5(F.concat_ws("|", *parts, F.lit(str(seed))).cast("binary"))
+
+
 def safe_div(a: ColumnLike, b: ColumnLike, on_zero: str = "null") -> Column:
     """``a / b`` without the ANSI divide-by-zero error.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -10,6 +10,7 @@ from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.profile import column_correlations
 from .boost import BoostSettings, boosted_model
 from .features import FeatureMatrix
 from .folds import SEED
@@ -56,6 +57,65 @@ def categorical_dependence(df: DataFrame, columns: Sequence[str], label: str) ->
     )
 
 
+def correlated_groups(pairs: DataFrame, columns: Sequence[str], threshold: float = CORRELATION_LIMIT) -> dict[str, str]:
+    """Group of each column: columns linked, also over others, by a correlation above ``threshold`` in size.
+
+    ``pairs`` holds ``column_a, column_b, corr``.  A group is named by its first member in
+    the order of ``columns``.  Only linked pairs of columns reach the driver; their number
+    does not grow with the rows.
+    """
+    group = {c: c for c in columns}
+
+    def top(c: str) -> str:
+        while group[c] != c:
+            group[c] = group[group[c]]
+            c = group[c]
+        return c
+
+    place = {c: i for i, c in enumerate(columns)}
+    for r in pairs.where(F.abs("corr") > F.lit(threshold)).select("column_a", "column_b").collect():
+        a, b = sorted((top(r["column_a"]), top(r["column_b"])), key=place.get)
+        group[b] = a
+    return {c: top(c) for c in columns}
+
+
+def keep_most_important(groups: Mapping[str, str], importance: Mapping[str, float]) -> list[str]:
+    """The most important member of each group, ties to the first; order as in ``groups``."""
+    best: dict[str, str] = {}
+    for c, g in groups.items():
+        if g not in best or importance.get(c, 0.0) > importance.get(best[g], 0.0):
+            best[g] = c
+    return [c for c, g in groups.items() if best[g] == c]
+
+
+def select_features(
+    df: DataFrame,
+    label: str,
+    numeric: Sequence[str],
+    categories: Sequence[str],
+    importance: DataFrame,
+    threshold: float = CORRELATION_LIMIT,
+    level: float = 0.05,
+) -> DataFrame:
+    """``feature, origin``: what trees want and correlation keeps, then categories that depend on the label.
+
+    ``importance`` holds ``feature, mean``.  Of each group of correlated numeric columns
+    the most important stays; features without importance go.
+    """
+    numeric = list(numeric)
+    weight = {r["feature"]: r["mean"] for r in importance.collect()}  # a row per feature
+    groups = correlated_groups(column_correlations(df, numeric), numeric, threshold)
+    kept = set(keep_most_important(groups, weight))
+    wanted = [f for f in sorted(weight, key=lambda f: (-weight[f], f)) if weight[f] > 0]
+    dependent = []
+    if categories:
+        tests = categorical_dependence(df, list(categories), label).where(F.col("p_value") <= level)
+        dependent = [r["column"] for r in tests.orderBy("p_value", "column").collect()]
+    chosen = combine_selection(wanted, [c for c in numeric if c not in kept], dependent)
+    rows = [(f, "trees" if f in wanted else "dependence") for f in chosen]
+    return df.sparkSession.createDataFrame(rows, "feature string, origin string")
+
+
 def combine_selection(
     by_trees: Sequence[str],
     dropped_by_correlation: Sequence[str],

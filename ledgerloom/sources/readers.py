@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.arithmetic import key_digest
+
 
 def read_csv(
     spark: SparkSession,
@@ -95,5 +97,8 @@ def row_cap(df: DataFrame, n: int | None, order: Sequence[str]) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 1001) -> DataFrame:
-    """``n`` rows picked by a seeded hash of the key, the same ones every run."""
-    return df.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(n)
+    """``n`` rows picked by a seeded digest of the key, the same ones every run and in any engine.
+
+    Every task passes on its ``n`` first rows only.
+    """
+    return df.orderBy(key_digest(key, seed), *key).limit(n)
