@@ -1,10 +1,9 @@
 """Attach per-key values to rows when some keys hold very many rows.
 
 An equi-join sends all rows of a key to one task.  Where the value table also
-knows how many rows each key has, keys above ``hot_rows`` can be told apart
-before the join.  There are at most ``rows / hot_rows`` of them, so that part
-of the value table is safe to broadcast and their rows are never shuffled; all
-other keys are small enough for an ordinary shuffled join.
+knows how many rows each key has, the rows of the largest keys are dealt over
+several salts, and their values are replicated to each salt.  Null keys, which
+match nothing, are dealt over salts as well.  The rows are read once.
 """
 
 from __future__ import annotations
@@ -15,11 +14,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arithmetic import col
 from ..sources import checkpoint
 
+#: Rows of a key that one task takes; keys with more are salted.
 HOT_ROWS = 5_000_000
+#: Keys that are salted at most, those with the most rows; their hashes travel inside the expression.
+SALTED_KEYS = 1000
+#: Most salts of a key, and salts of null keys.
+SALTS = 10_000
 
 _COUNT = "__key_rows"
+_SALT = "__salt"
 
 
 def lookup_join(
@@ -32,26 +38,27 @@ def lookup_join(
     """Left-join ``lookup`` (one row per key) to ``rows``.
 
     ``count`` is the column of ``lookup`` with the number of rows of its key.
-    Rows with a null key match nothing and stay out of the shuffle.  The value
-    table is settled first, since each part of the join reads it; without hot
-    keys the rows are read by the shuffled join alone.
+    Rows with a null key match nothing.  The value table is settled first, as
+    the largest keys are read from it before the join.  A row's salt is a hash
+    of the row, so a repeated task deals it out alike.
     """
     on = list(on)
     values = [c for c in lookup.columns if c not in on and c != count]
     out = [*rows.columns, *values]
-    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-
     lookup = checkpoint(lookup)
-    hot = lookup.where(F.col(count) >= hot_rows).select(*on, *values)
-    cold = lookup.where(F.col(count) < hot_rows).select(*on, *values)
+    key = F.xxhash64(*[col(k) for k in on])
+    each = F.least(F.ceil(col(count) / max(hot_rows, 1)), F.lit(SALTS)).cast("int")
+    largest = lookup.where(col(count) > hot_rows).orderBy(F.desc(count), *[col(k) for k in on]).limit(SALTED_KEYS)
+    hot = {r["key"]: r["salts"] for r in largest.select(key.alias("key"), each.alias("salts")).collect()}
+    pairs = [F.lit(x) for item in hot.items() for x in item]
+    salts = F.coalesce(F.try_element_at(F.create_map(*pairs), key), F.lit(1)) if hot else F.lit(1)
 
-    keyed = rows.where(~has_null)
-    parts = [rows.where(has_null).select("*", *[F.lit(None).cast(lookup.schema[v].dataType).alias(v) for v in values])]
-    if not hot.isEmpty():
-        parts.append(keyed.join(F.broadcast(hot), on, "inner"))
-        keyed = keyed.join(F.broadcast(hot.select(*on)), on, "left_anti")
-    parts.append(keyed.join(cold, on, "left"))
-    return reduce(DataFrame.unionByName, [p.select(*out) for p in parts])
+    has_null = reduce(lambda a, b: a | b, [col(k).isNull() for k in on])
+    spread = F.xxhash64(*[col(f.name) for f in rows.schema.fields if "map<" not in f.dataType.simpleString()])
+    salt = F.when(has_null, F.pmod(spread, F.lit(SALTS))).when(salts > 1, F.pmod(spread, salts)).otherwise(0).cast("int")
+    replicated = lookup.select(*[col(k) for k in on], *[col(v) for v in values], F.explode(F.sequence(F.lit(0), salts - 1)).alias(_SALT))
+    joined = rows.withColumn(_SALT, salt).join(replicated, [*on, _SALT], "left")
+    return joined.select(*[col(c) for c in out])
 
 
 def attach_group_stats(

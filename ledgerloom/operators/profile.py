@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.arithmetic import col, quote
 from .project import columns_by_type
@@ -99,13 +98,70 @@ def duplicate_columns(df: DataFrame, row_key: Sequence[str]) -> list[str]:
     return [c for c in columns if c in duplicates]
 
 
-_MOMENTS = T.StructType(
-    [
-        T.StructField("i", T.IntegerType()),
-        T.StructField("j", T.IntegerType()),
-        *[T.StructField(m, T.DoubleType()) for m in ("n", "sx", "sy", "sxx", "syy", "sxy")],
-    ]
-)
+#: Columns to a tile of the moment matrices, and bytes of matrices that a task holds.
+TILE = 64
+HELD = 256 << 20
+_MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def _tile_moments(df: DataFrame, centre: np.ndarray) -> DataFrame:
+    """``i, j`` (i above j) and the moments of each pair of the columns of ``df``.
+
+    A task gives out one packed row per pair of column tiles; packed rows are added up
+    by shuffle, and only their sums become a row per pair of columns.
+    """
+    width = len(centre)
+    tiles = [slice(t, min(t + TILE, width)) for t in range(0, width, TILE)]
+    pairs = [(a, b) for a in range(len(tiles)) for b in range(a + 1)]
+    hold = len(pairs) * len(_MOMENTS) * TILE * TILE * 8 <= HELD
+
+    def packed(total: dict) -> pa.RecordBatch:
+        a, b = zip(*total)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array([m.tobytes() for m in total.values()], pa.binary())], names=["a", "b", "sums"]
+        )
+
+    def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - centre
+            known = ~np.isnan(x)
+            x = np.where(known, x, 0.0)
+            known = known.astype(np.float64)
+            square = x * x
+            for a, b in pairs:
+                i, j = tiles[a], tiles[b]
+                left, right = (known[:, i], x[:, i], square[:, i]), (known[:, j], x[:, j], square[:, j])
+                part = np.stack([left[p].T @ right[q] for p, q in ((0, 0), (1, 0), (0, 1), (2, 0), (0, 2), (1, 1))])
+                total[a, b] = total[a, b] + part if (a, b) in total else part
+                if not hold:
+                    yield packed(total)
+                    total.clear()
+        if total:
+            yield packed(total)
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, total = None, None
+
+        def rows() -> pa.RecordBatch:
+            i, j = tiles[key[0]], tiles[key[1]]
+            sums = total.reshape(len(_MOMENTS), i.stop - i.start, j.stop - j.start)
+            at = np.nonzero(np.arange(i.start, i.stop)[:, None] > np.arange(j.start, j.stop))
+            columns = [pa.array((x + s.start).astype(np.int32)) for x, s in zip(at, (i, j))]
+            return pa.RecordBatch.from_arrays([*columns, *[pa.array(s[at]) for s in sums]], names=["i", "j", *_MOMENTS])
+
+        for batch in batches:
+            for a, b, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                part = np.frombuffer(blob)
+                if (a, b) != key and key is not None:
+                    yield rows()
+                total = total + part if (a, b) == key else part
+                key = (a, b)
+        if key is not None:
+            yield rows()
+
+    parts = df.mapInArrow(moments, "a int, b int, sums binary").repartition("a", "b").sortWithinPartitions("a", "b")
+    return parts.mapInArrow(unpacked, "i int, j int, " + ", ".join(f"{m} double" for m in _MOMENTS))
 
 
 def column_correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -114,36 +170,18 @@ def column_correlations(df: DataFrame, columns: Sequence[str] | None = None) ->
     The pairs are pairs of columns, so their number does not grow with the data.
 
     Every task turns its rows into the moment matrices of all pairs, one matrix
-    product per Arrow batch, and Spark adds them up by pair; one scan serves any
-    number of columns.  Columns are centred on their means first to keep the
-    sums accurate.  Returns ``column_a, column_b, corr`` with ``a`` before ``b``
-    in column order; ``corr`` is null where either side does not vary.
+    product per Arrow batch and pair of column tiles, and the matrices are added up tile
+    by tile; one scan serves any number of columns.  Columns are centred on their means
+    first to keep the sums accurate.  Returns ``column_a, column_b, corr`` with ``a``
+    before ``b`` in column order; ``corr`` is null where either side does not vary.
     """
     columns = columns_by_type(df, "numeric") if columns is None else list(columns)
-    width = len(columns)
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, corr double")
     numbers = df.selectExpr(*[f"CAST({quote(c)} AS DOUBLE) AS c{i}" for i, c in enumerate(columns)])
-    means = numbers.selectExpr(*[f"avg({c})" for c in numbers.columns]).first()
+    means = numbers.selectExpr(*[f"avg(nanvl({c}, CAST(NULL AS DOUBLE)))" for c in numbers.columns]).first()
     centre = np.array([0.0 if m is None else m for m in means])
-    lower = np.tril_indices(width, -1)
-
-    def moments(batches):
-        total = None
-        for batch in batches:
-            x = batch.to_numpy(dtype="float64", na_value=np.nan) - centre
-            known = ~np.isnan(x)
-            x = np.where(known, x, 0.0)
-            known = known.astype("float64")
-            square = x * x
-            part = [known.T @ known, x.T @ known, known.T @ x, square.T @ known, known.T @ square, x.T @ x]
-            total = part if total is None else [a + b for a, b in zip(total, part, strict=True)]
-        if total is not None:
-            rows = {"i": lower[0].astype("int32"), "j": lower[1].astype("int32")}
-            rows |= {m: t[lower] for m, t in zip(("n", "sx", "sy", "sxx", "syy", "sxy"), total, strict=True)}
-            yield pd.DataFrame(rows)
-
-    summed = numbers.mapInPandas(moments, _MOMENTS).groupBy("i", "j").agg(
-        *[F.sum(m).alias(m) for m in ("n", "sx", "sy", "sxx", "syy", "sxy")]
-    )
+    summed = _tile_moments(numbers, centre)
     n = F.col("n")
     var_x = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), n)
     var_y = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), n)

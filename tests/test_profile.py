@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom import operators as O
 
@@ -46,6 +47,30 @@ def test_correlation_matches_pandas(df, frame):
         assert (value is None) if np.isnan(want) else value == pytest.approx(want, abs=1e-9)
 
 
+@pytest.mark.parametrize("held", [1 << 28, 0])
+def test_correlation_of_a_thousand_columns_travels_by_tile(spark, monkeypatch, held):
+    """Tasks give out a row per pair of tiles, not per pair of columns, and hold no more matrices than they may."""
+    from ledgerloom.operators import profile
+
+    monkeypatch.setattr(profile, "HELD", held)
+    width, rows = 1000, 60
+    values = np.random.default_rng(1).normal(size=(rows, width))
+    values[:, 700] = values[:, 3] * 2 + 1
+    values[::7, 5] = np.nan
+    df = spark.createDataFrame(pd.DataFrame(values, columns=[f"c{i}" for i in range(width)])).repartition(2)
+    wanted = pd.DataFrame(values).corr().to_numpy()
+    pairs = O.column_correlations(df).withColumn("far", F.abs("corr") > 0.75)
+    assert [(r["column_a"], r["column_b"]) for r in pairs.where("far").collect()] == [("c3", "c700")]
+    some = pairs.where("column_a IN ('c5', 'c64') AND column_b IN ('c64', 'c128', 'c999')").collect()
+    assert len(some) == 5 and all(r["corr"] == pytest.approx(wanted[int(r["column_a"][1:]), int(r["column_b"][1:])]) for r in some)
+    packed = profile._tile_moments(df, np.zeros(width))
+    assert packed.count() == width * (width - 1) // 2
+
+
+def test_correlation_of_no_columns(spark):
+    assert O.column_correlations(spark.createDataFrame([("a",)], "t string")).collect() == []
+
+
 def test_correlated_columns_list_the_later_one(df, frame):
     assert O.correlated_columns(df, 0.9, ["x", "copy", "plus", "minus", "gaps", "other"]) == ["copy", "plus", "minus", "gaps"]
 

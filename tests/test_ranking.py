@@ -82,6 +82,26 @@ def test_lookup_join_keeps_every_row(spark):
         assert sorted(map(tuple, got), key=str) == expected
 
 
+def test_lookup_join_reads_the_rows_once_and_deals_hot_and_null_keys_out(spark, tmp_path):
+    rows = [("hot" if i % 2 else None, i) for i in range(4000)] + [("cold", -1), ("a b", -2)]
+    spark.createDataFrame(rows, "k string, `i.j` int").write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    lookup = spark.createDataFrame([("hot", 2000, 1.5), ("cold", 1, 2.5)], "k string, n int, `x.y` double")
+    joined = O.lookup_join(df, lookup, ["k"], "n", 100)
+    assert joined.columns == ["k", "i.j", "x.y"] and joined.count() == 4002
+    assert {(r[0], r[2]) for r in joined.collect()} == {("hot", 1.5), (None, None), ("cold", 2.5), ("a b", None)}
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        parts = joined.withColumn("p", F.spark_partition_id()).groupBy("k", "p").count().groupBy("k").agg(F.count("p").alias("parts")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert {r["k"]: r["parts"] > 1 for r in parts} == {"hot": True, None: True, "cold": False, "a b": False}
+
+
 def test_group_stats_written_back(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0)], "k string, v double")
     got = O.attach_group_stats(df, ["k"], [F.avg("v").alias("m")], hot_rows=2).collect()
