@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from math import exp, log
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,7 @@ BLOCK_TAGS = frozenset(
 )
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their text is never seen by a reader of the article.
-SILENT_TAGS = frozenset("button canvas datalist head iframe math noscript object option select svg template textarea title".split())
+SILENT_TAGS = frozenset("button canvas datalist head iframe noscript object option select svg template textarea title".split())
 RAW_TAGS = ("script", "style", "textarea", "title", "xmp", "iframe", "noembed", "noframes")
 #: A start tag of the key ends an open element of these kinds.
 CLOSES = {
@@ -48,6 +49,17 @@ BOILERPLATE_NAMES = re.compile(
     r"social|sponsor\w*|subscribe|tags?|teaser|toolbar|topbar|trending|widgets?)(?![a-z])",
     re.I,
 )
+#: Names that can only be those of a part beside the article, whatever is around: comments, adverts, sidebars, notices, navigation, sharing.
+CLEAR_NAMES = re.compile(
+    r"((post|entry|article|site|page|user|reader|the)-)?(comments?|replies|respond)(-?(area|list|section|box|form|thread|wrap\w*|container|block|body|content|text|item|count))*|"
+    r"comment-?list|disqus\w*(-\w+)*|ads?|ad-?(slot|box|banner|unit|container|wrap\w*|block|label|space|sense)|advert\w*(-\w+)*|sponsor(ed)?(-(content|links?|posts?|box))?|"
+    r"promo(tion|ted)?s?(-(box|block|banner))?|((left|right|main|page|site)-)?side-?(bar|nav|menu)s?(-\w+)*|((cookies?|privacy|consent|gdpr|site|legal)-)?notices?(-\w+)?|"
+    r"(cookies?|consent|gdpr)(-?(bar|banner|box|popup|consent|message|policy|overlay|wall))?|newsletters?(-\w+)*|subscribe(-\w+)*|sign-?up(-\w+)*|"
+    r"((site|main|top|page|post|primary|secondary)-)?nav(bar|igation)?(-(bar|menu|links?|list|wrap\w*))?|breadcrumbs?|menu|pagination|pager|paging|"
+    r"((social|post)-)?(share|sharing)(-?(bar|box|buttons?|links?|icons?|tools?|this|widget))?|social(-?(bar|box|buttons?|links?|icons?|media|share|sharing))?|"
+    r"related-?(posts?|articles?|stories|links|content|items)|recommend(ed|ations?)(-(posts?|articles?|stories|for-you))?|popup|modal|paywall",
+    re.I,
+)
 #: Words that make a content name that of a part beside the content ("post-footer"), and names that tell a topic or a layout.
 PART_NAMES = re.compile(r"(?<![a-z])(comments?|commentlist|related|side|sidebar|sidenav|foot|footer|nav\w*|menu|promo\w*|share|sharing|sponsor\w*|ads?)(?![a-z])", re.I)
 TOPICS = re.compile(r"(tag|category|cat|topic|author|type|status|format|has|no|with|without)-", re.I)
@@ -65,9 +77,10 @@ NEIGHBOUR, SAME_PARENT, COUSIN = 0.3, 0.9, 0.5
 LIMIT = 3.0
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|</?([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|</?([a-zA-Z][^\s/>]*)((?:[^<>\"']+|\"(?:[^\"<]|<(?![a-zA-Z/!?]))*+\"|'(?:[^'<]|<(?![a-zA-Z/!?]))*+')*+)>|</?([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<",
     re.S,
 )
+_TEXT = re.compile("[^<]+|<")
 _NAMES = re.compile(r"\b(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _END = {t: re.compile(rf"</{t}\b[^>]*>", re.I) for t in RAW_TAGS}
 
@@ -83,6 +96,23 @@ class Block:
     labelled: int  # 1 inside an article-like, 0 inside a menu-like element, -1 neither
 
 
+class Element(NamedTuple):
+    """An open element: what it says itself, and what it and all around it say together."""
+
+    tag: str
+    number: int
+    says: float
+    kind: int
+    silent: bool
+    link: bool
+    worst: float
+    unsure: bool
+    total: float
+    inside: float  # of those that say something for the counts
+    known: int  # the innermost kind that is sure or unsure
+    block: int  # place of the innermost block element
+
+
 @lru_cache(4096)
 def _says(tag: str, attributes: str, inside: bool) -> tuple[float, int]:
     """Log-odds that an element adds (0: says nothing) and, for the counts, its kind (2: unsure)."""
@@ -91,6 +121,8 @@ def _says(tag: str, attributes: str, inside: bool) -> tuple[float, int]:
     if attributes:
         names = " ".join(x for m in _NAMES.finditer(attributes) for x in m.groups() if x)
         if names:
+            if tag not in WHOLE_TAGS and any(CLEAR_NAMES.fullmatch(x.replace("_", "-")) for x in names.split()):
+                return NAMED_BOILERPLATE, 0
             content = CONTENT_NAMES.search(names)
             if tag not in WHOLE_TAGS and not content and BOILERPLATE_NAMES.search(names.replace("_", "-")):
                 return (NAMED_INSIDE, 2) if inside else (NAMED_BOILERPLATE, 0)
@@ -107,8 +139,9 @@ def _says(tag: str, attributes: str, inside: bool) -> tuple[float, int]:
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page, in order; markup need not be well formed."""
     out: list[Block] = []
-    # An open element: tag, number, hint in force, kind in force, silent, link.
-    stack: list[tuple[str, int, float, int, bool, bool]] = [("", 0, 0.0, -1, False, False)]
+    # What holds for an open element and all around it is carried along, so that deep nesting costs no more.
+    stack = [Element("", 0, 0.0, -1, False, False, 0.0, False, 0.0, 0.0, -1, 0)]
+    opened: Counter[str] = Counter()
     pieces: list[str] = []
     made, linked = 0, 0
 
@@ -117,46 +150,50 @@ def blocks_of(page: str) -> list[Block]:
         if pieces:
             text = " ".join(entities.unescape("".join(pieces)).split())
             if text:
-                holder = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] in BLOCK_TAGS or not k), 0)
-                above = next((k for k in range(holder - 1, -1, -1) if stack[k][0] in BLOCK_TAGS or not k), 0)
-                worst = min(e[2] for e in stack)
-                unsure = any(e[3] == 2 for e in stack)
-                hint = worst if worst <= -6 else NAMED_INSIDE if unsure else min(sum(e[2] for e in stack[: holder + 1]), 5.0)
-                kind = 0 if worst <= -6 else -1 if unsure else next((e[3] for e in reversed(stack) if e[3] >= 0), -1)
-                out.append(Block(text, stack[holder][0], min(linked, len(text)), stack[above][1], stack[max(above - 1, 0)][1], hint, kind))
+                top = stack[-1]
+                holder = stack[top.block]
+                above = stack[top.block - 1].block if top.block else 0
+                hint = top.worst if top.worst <= -6 else NAMED_INSIDE if top.unsure else min(holder.total, 5.0)
+                kind = 0 if top.worst <= -6 else -1 if top.unsure else top.known
+                out.append(Block(text, holder.tag, min(linked, len(text)), stack[above].number, stack[max(above - 1, 0)].number, hint, kind))
         pieces.clear()
         linked = 0
 
     def close(down_to: int) -> None:
+        for e in stack[down_to:]:
+            opened[e.tag] -= 1
         del stack[down_to:]
 
-    at, n = 0, len(page)
+    at, n, last = 0, len(page), page.rfind(">")
     while at < n:
-        m = _TOKEN.match(page, at)
+        # Behind the last ">" there are no tags, only text and comments that are never closed.
+        m = _TOKEN.match(page, at) if at <= last or page.startswith(("<!--", "<![CDATA["), at) else _TEXT.match(page, at)
         at = m.end()
-        tag = m[1] or m[3]
+        tag = (m[1] or m[3]) if m.re is _TOKEN else None
         if not tag:
             piece = m[0]
             if piece[:2] in ("<!", "<?") and len(piece) > 2:
                 continue
             top = stack[-1]
-            if not top[4]:
+            if not top.silent:
                 pieces.append(piece)
-                if top[5]:
+                if top.link:
                     linked += len(piece)
             continue
         tag, attributes = tag.lower(), m[2] if m[1] else m[4]
         if m[0][1] == "/":
-            if tag == "p" and not any(e[0] == "p" for e in stack):
+            if tag == "p" and not opened["p"]:
                 flush()
                 continue
+            if not opened[tag]:
+                continue
             for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    if tag in BLOCK_TAGS or any(e[0] in BLOCK_TAGS for e in stack[k:]):
+                if stack[k].tag == tag:
+                    if tag in BLOCK_TAGS or any(e.tag in BLOCK_TAGS for e in stack[k:]):
                         flush()
                     close(k)
                     break
-                if stack[k][0] in BLOCK_TAGS and tag not in BLOCK_TAGS:
+                if stack[k].tag in BLOCK_TAGS and tag not in BLOCK_TAGS:
                     break  # an inline end tag doesn't close the block around it
             continue
         if tag == "br":
@@ -165,17 +202,17 @@ def blocks_of(page: str) -> list[Block]:
         if tag in BLOCK_TAGS:
             flush()
             for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p" and tag not in ("option",):
+                if stack[k].tag == "p" and tag not in ("option",):
                     close(k)
                     break
-                if stack[k][0] in BLOCK_TAGS:
+                if stack[k].tag in BLOCK_TAGS:
                     break
-            if tag in CLOSES:
+            if tag in CLOSES and any(opened[t] for t in CLOSES[tag]):
                 for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][0] in CLOSES[tag]:
+                    if stack[k].tag in CLOSES[tag]:
                         close(k)
                         break
-                    if stack[k][0] in ("ul", "ol", "dl", "table", "menu") and stack[k][0] != tag:
+                    if stack[k].tag in ("ul", "ol", "dl", "table", "menu") and stack[k].tag != tag:
                         break
         if tag in VOID_TAGS or attributes.endswith("/") and tag not in BLOCK_TAGS:
             continue
@@ -183,11 +220,17 @@ def blocks_of(page: str) -> list[Block]:
             end = _END[tag].search(page, at)
             at = end.end() if end else n
             continue
-        inside = sum(e[2] for e in stack if e[3] >= 0) > 0
-        says, kind = _says(tag, attributes, inside)
+        top = stack[-1]
+        says, kind = _says(tag, attributes, top.inside > 0)
         made += 1
-        silent = stack[-1][4] or tag in SILENT_TAGS or bool(attributes and HIDDEN.search(attributes))
-        stack.append((tag, made, says, kind, silent, stack[-1][5] or tag == "a"))
+        silent = top.silent or tag in SILENT_TAGS or bool(attributes and HIDDEN.search(attributes))
+        known = kind if kind >= 0 else top.known
+        block = len(stack) if tag in BLOCK_TAGS else top.block
+        inside = top.inside + (says if kind >= 0 else 0.0)
+        stack.append(
+            Element(tag, made, says, kind, silent, top.link or tag == "a", min(top.worst, says), top.unsure or kind == 2, top.total + says, inside, known, block)
+        )
+        opened[tag] += 1
     flush()
     return out
 

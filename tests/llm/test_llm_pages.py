@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 from ledgerloom.llm import pages
 from ledgerloom.llm.mincut import _max_flow, min_cut
@@ -100,3 +101,49 @@ def test_edges(spark):
     assert len(got) == 5 and {r["text"] for r in got if r["page_id"] in (1, 2)} == {""}
     assert [r["text"] for r in got if r["page_id"] is None] == [PARAGRAPH]
     assert pages.extract(df.where("page_id > 9")).count() == 0
+
+
+#: Text odds that speak for any block as loudly as learned ones can.
+LOUD = {f"length {n}": 3.0 for n in range(13)}
+
+PARTS = (
+    "<div class=comments>{}</div>", "<ul id=comments><li>{}</ul>", "<div class='comments-area'>{}</div>", "<div class='post-comments box'>{}</div>",
+    "<div class=advert>{}</div>", "<div class='ad-slot'>{}</div>", "<div class=sponsored>{}</div>", "<div class=sidebar>{}</div>", "<div id=right-sidebar>{}</div>",
+    "<div class=cookie-notice>{}</div>", "<section class=newsletter-signup>{}</section>", "<div class='share-buttons'>{}</div>", "<div class=site-nav>{}</div>",
+    "<div class=related-posts>{}</div>", "<section role=navigation>{}</section>",
+)
+
+
+def test_parts_beside_the_article_go_wherever_they_are():
+    other = f"<p>Other: {PARAGRAPH}</p>" * 3
+    for weights in ({}, LOUD):
+        for around in ("<article>{}</article>", "<main>{}</main>", "<div id=content>{}</div>", "<div class='entry'><section>{}</section></div>"):
+            for part in PARTS:
+                text = pages.main_text(page(around.format(f"<h1>Title</h1><p>{PARAGRAPH}</p>" + part.format(other) + f"<p>More. {PARAGRAPH}</p>")), weights)
+                assert "Other" not in text and text.count(PARAGRAPH) == 2, (around, part)
+
+
+def test_topics_that_sound_like_parts_stay():
+    for name in ("comments-on-law", "advanced", "adventure", "social-history", "side-effects", "naval", "menuett", "noticeable", "post-modern"):
+        assert pages.main_text(page(f"<article><section class={name}><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p></section></article>"), LOUD).count(PARAGRAPH) == 2, name
+
+
+def test_hostile_pages_end_soon():
+    cases = [
+        "<a " * 330_000, "<div>" * 100_000 + "text", "<a \"'>x" * 100_000, "<" * 1_000_000, "<div>" * 30_000 + "</b></i></p>" * 30_000, "<ul><li>" * 50_000,
+        "<!--" * 200_000, "<a b=\"" * 100_000 + ">", "<b>" * 100_000 + "x", "<p>" + PARAGRAPH + "</p>" + "<a " * 100_000,
+    ]
+    for case in cases:
+        start = time.process_time()
+        pages.main_text(case, {})
+        assert time.process_time() - start < 6, case[:40]
+    assert PARAGRAPH in pages.main_text(f"<article><p>{PARAGRAPH}</p><p>{PARAGRAPH}</p>" + "<a " * 1000, {})
+
+
+def test_formulas_are_text():
+    assert "x = 2" in pages.main_text(page(f"<article><p>{PARAGRAPH} <math><mi>x</mi> <mo>=</mo> <mn>2</mn></math> holds.</p></article>"), {})
+
+
+def test_quoted_attributes_may_hold_angles():
+    text = pages.main_text(page(f"<article><p title='a > b'>{PARAGRAPH}</p><p title=\"x < y > z\">Second: {PARAGRAPH}</p></article>"), {})
+    assert text == f"{PARAGRAPH}\n\nSecond: {PARAGRAPH}"
