@@ -6,6 +6,9 @@ probed with the substrings that multi-match-aware bounds allow for each length
 difference.  A sketch of letter counts, which T edits change by 2 T in all at
 most, is part of the join condition, so that lines which only share a segment are
 never put out as pairs.  A banded bit-parallel edit distance settles the rest.
+A line goes if any line near it comes first, so it need not meet all of them: it first
+meets the few earliest lines under each of its keys, and only a line that these leave
+undecided meets the rest of the keys that have more.
 Texts are not shuffled for any of this but for documents that hold candidates or
 lose lines; a bit set of fixed size, sent to all tasks, tells which these may be.
 """
@@ -15,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources import checkpoint
@@ -28,6 +31,8 @@ MIN_CHARS = 40
 SKETCH, COUNT_BITS = " etnr", 12
 #: Bits of the document sets that are broadcast (256 kB); a fuller set only lets more documents through.
 SET_BITS = 1 << 21
+#: Lines of a key that every line of the key is compared with at first.
+HEADS = 16
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -133,56 +138,61 @@ def _in_set(bits: Column, hashes: Column) -> Column:
     return F.call_function("shiftright", word, (place % 64).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1
 
 
-def similar_lines(occurrences: DataFrame, edits: int) -> DataFrame:
-    """Pairs ``a, b`` of different line hashes whose lines may be ``edits`` apart; candidates, before the exact check.
+def line_keys(occurrences: DataFrame, edits: int) -> DataFrame:
+    """``h, sketch, key, probe, id`` of lines ``h, line, length, id``, stored; a row per line and key, with the line's smallest id.
 
-    ``occurrences`` has ``h, line, length``.  Copies of a line are one row before the join.
+    Keys a line is found by are no probes; copies of a line are one row.
     """
     most = (1 << COUNT_BITS) - 1
     counts = [F.least(F.col("length") - F.length(F.replace("line", F.lit(c), F.lit(""))), F.lit(most)).cast("bigint") for c in SKETCH]
     sketch = reduce(Column.bitwiseOR, [F.call_function("shiftleft", n, F.lit(k * COUNT_BITS)) for k, n in enumerate(counts)])
     own, others = _keys(F.col("line"), F.col("length"), edits)
     keys = [F.struct(key.alias("key"), F.lit(i >= len(own)).alias("probe")) for i, key in enumerate([*own, *others])]
-    rows = occurrences.select("h", sketch.alias("sketch"), F.array(*keys).alias("keys"))
-    rows = stored(rows.select("h", "sketch", F.inline("keys")).distinct(), "line-keys")
+    rows = occurrences.select("h", sketch.alias("sketch"), F.array(*keys).alias("keys"), "id")
+    rows = rows.select("h", "sketch", F.inline("keys"), "id").groupBy("h", "sketch", "key", "probe").agg(F.min("id").alias("id"))
+    return stored(rows, "line-keys")
 
-    def count(x: str, k: int) -> Column:
-        return F.shiftright(x, k * COUNT_BITS).bitwiseAND(F.lit(most).cast("bigint"))
 
-    far = reduce(Column.__add__, [F.abs(count("sketch", k) - count("sketch2", k)) for k in range(len(SKETCH))])
-    left = rows.where("NOT probe").select("key", F.col("h").alias("a"), "sketch")
-    right = rows.select(F.col("key").alias("key2"), F.col("h").alias("b"), F.col("sketch").alias("sketch2"), "probe")
-    once = (F.col("a") < F.col("b")) | (F.col("probe") & (F.col("a") != F.col("b")))
-    met = left.hint("shuffle_merge").join(right, (F.col("key") == F.col("key2")) & once & (far <= 2 * edits))
+def _letters_apart(a: str, b: str) -> Column:
+    """By how many letters two sketches differ at least."""
+    most = F.lit((1 << COUNT_BITS) - 1).cast("bigint")
+    count = lambda x, k: F.shiftright(x, k * COUNT_BITS).bitwiseAND(most)
+    return reduce(Column.__add__, [F.abs(count(a, k) - count(b, k)) for k in range(len(SKETCH))])
+
+
+def _pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def drop_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, repeats_from: int | None = None
-) -> DataFrame:
-    """``docs`` with ``text_col`` less the lines met before, plus ``__lines`` and ``__removed`` (numbers of lines).
+def early_pairs(rows: DataFrame, edits: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``a, b`` of line hashes that may be near: each line with the ``HEADS`` earliest under its keys; and the keys that have more."""
+    order = Window.partitionBy("key").orderBy("id", "h")
+    ranked = rows.where("NOT probe").select("key", "id", "h", "sketch", F.row_number().over(order).alias("place"))
+    heads = stored(ranked.where(F.col("place") <= HEADS + 1), "line-heads")
+    left = heads.where(F.col("place") <= HEADS).select("key", F.col("h").alias("a"), "sketch")
+    right = rows.select(F.col("key").alias("key2"), F.col("h").alias("b"), F.col("sketch").alias("sketch2"))
+    apart = _letters_apart(F.col("sketch"), F.col("sketch2"))
+    met = left.hint("shuffle_merge").join(right, (F.col("key") == F.col("key2")) & (F.col("a") != F.col("b")) & (apart <= 2 * edits))
+    return _pairs(met), heads.where(F.col("place") > HEADS).select("key")
+
+
+def late_pairs(rows: DataFrame, deep: DataFrame, decided: DataFrame, edits: int) -> DataFrame:
+    """Pairs of lines under the keys ``deep``, at least one of them not among the ``decided`` (``h``)."""
+    some = rows.where(_in_set(_set_of(deep, F.col("key")), F.col("key")))
+    some = some.join(decided.select("h", F.lit(False).alias("open")), "h", "left").withColumn("open", F.coalesce("open", F.lit(True)))
+    some = stored(some, "line-deep")
+    left = some.where("NOT probe").select("key", F.col("h").alias("a"), "sketch", F.col("open").alias("open_a"))
+    right = some.select(F.col("key").alias("key2"), F.col("h").alias("b"), F.col("sketch").alias("sketch2"), "probe", F.col("open").alias("open_b"))
+    once = (F.col("a") < F.col("b")) | (F.col("probe") & (F.col("a") != F.col("b")))
+    near = once & (F.col("open_a") | F.col("open_b")) & (_letters_apart(F.col("sketch"), F.col("sketch2")) <= 2 * edits)
+    return _pairs(left.hint("shuffle_merge").join(right, (F.col("key") == F.col("key2")) & near))
 
-    Lines are parted by line feeds and compared trimmed and in lower case.  A
-    line of ``min_chars`` or more goes if the same line, or one at most ``edits``
-    edits away, comes first at an earlier place (smaller id, then earlier in the
-    text).  Of shorter lines, exact repeats go from ``repeats_from`` characters
-    on (1: all but blank lines; None: all shorter lines stay).  Links are judged on the input, so a line may go
-    for one that goes itself.  Null texts stay null and have no lines.  Rows with
-    a null id stay as they are.  Rows of equal id and text count as one document
-    and are treated alike; of an id with several texts the order is by hash.
-    Other columns are passed through.
-    """
-    spark = docs.sparkSession
-    th = F.xxhash64(F.col(text_col))
-    slim = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), th.alias("th"), F.col(text_col).alias("text"))
-    least = min_chars if repeats_from is None else min(min_chars, repeats_from)
-    lines = _lines(slim, least).withColumn("h", F.xxhash64("line"))
-    places = lines.select("h", F.xxhash64(F.lit(1), "line").alias("h2"), "id", "th", "pos")
-    where = F.struct("id", "th", "pos")
-    firsts = stored(places.groupBy("h", "h2").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")), "line-firsts")
 
-    # Candidates: fetch the first occurrence of each side from the documents that hold one.
-    pairs = stored(similar_lines(lines.where(F.col("length") >= min_chars).select("h", "line", "length"), edits), "line-pairs")
+def later_lines(pairs: DataFrame, firsts: DataFrame, slim: DataFrame, edits: int) -> DataFrame:
+    """``h, h2`` of the later line of each pair ``a, b`` that is at most ``edits`` apart, each once.
+
+    The first occurrence of each side is fetched from the documents that hold one.
+    """
     asked = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
     asked = checkpoint(firsts.join(asked, "h").select("h", "h2", "first"))
     wanted = asked.select(F.col("first.id").alias("id"), F.col("first.th").alias("th"), F.col("first.pos").alias("pos"), "h", "h2")
@@ -202,11 +212,43 @@ def drop_lines(
         F.when(longer, F.col("x")).otherwise(F.col("y")).alias("p"), F.when(longer, F.col("y")).otherwise(F.col("x")).alias("q"),
     )
     linked = both.where(edit_distance_within(F.col("p"), F.col("q"), edits))
-    later = linked.select(
+    return linked.select(
         F.when(F.col("first_a") < F.col("first_b"), F.col("b")).otherwise(F.col("a")).alias("h"),
         F.when(F.col("first_a") < F.col("first_b"), F.col("b2")).otherwise(F.col("a2")).alias("h2"),
     ).distinct()
 
+
+def drop_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, repeats_from: int | None = None
+) -> DataFrame:
+    """``docs`` with ``text_col`` less the lines met before, plus ``__lines`` and ``__removed`` (numbers of lines).
+
+    Lines are parted by line feeds and compared trimmed and in lower case.  A
+    line of ``min_chars`` or more goes if the same line, or one at most ``edits``
+    edits away, comes first at an earlier place (smaller id, then earlier in the
+    text).  Of shorter lines, exact repeats go from ``repeats_from`` characters
+    on (1: all but blank lines; None: all shorter lines stay).  Links are judged on the input, so a line may go
+    for one that goes itself.  Null texts stay null and have no lines.  Rows with
+    a null id stay as they are.  Rows of equal id and text count as one document
+    and are treated alike; of an id with several texts the order is by hash.
+    Other columns are passed through.
+    """
+    spark = docs.sparkSession
+    th = F.xxhash64(F.col(text_col))
+    slim = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), th.alias("th"), F.col(text_col).alias("text"))
+    least = min_chars if repeats_from is None else min(min_chars, repeats_from)
+    lines = _lines(slim, least).withColumn("h", F.xxhash64("line"))
+    places = lines.select("h", F.xxhash64(F.lit(1), "line").alias("h2"), "id", "th", "pos")
+    where = F.struct("id", "th", "pos")
+    firsts = stored(places.groupBy("h", "h2").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")), "line-firsts")
+
+    rows = line_keys(lines.where(F.col("length") >= min_chars).select("h", "line", "length", "id"), edits)
+    early, deep = early_pairs(rows, edits)
+    later = stored(later_lines(stored(early, "line-pairs"), firsts, slim, edits), "line-later")
+    if not deep.isEmpty():
+        late = stored(late_pairs(rows, deep, later.select("h").distinct(), edits), "line-pairs")
+        later = later.union(later_lines(late, firsts, slim, edits)).distinct()
+
     # Where lines go: every place of a line with an earlier neighbour, and of a repeated line all but the first.
     marks = (
         firsts.join(later.withColumn("near", F.lit(True)), ["h", "h2"], "left")

@@ -61,6 +61,31 @@ def test_near_lines_match_brute_force(spark):
         assert got == brute(rows, edits, 8)
 
 
+def test_many_near_lines_meet_few(spark, monkeypatch):
+    """600 lines within two edits of each other: pairs grow with the lines, not with their square."""
+    base = "every one of these lines is the same but for a letter or two at one place or another of it"
+    random.seed(4)
+    near = sorted({base[:k] + c + base[k + 1 :] for k in range(len(base)) for c in "qxyzw0123"})
+    near = random.sample(near, 600)
+    met = []
+    kept_pairs = lines._pairs
+    monkeypatch.setattr(lines, "_pairs", lambda df: met.append(kept_pairs(df)) or met[-1])
+    df = spark.createDataFrame([(i, f"{x}\nshort") for i, x in enumerate(near)], "doc_id bigint, text string")
+    got = lines.drop_lines(df, edits=2).where("__removed > 0").count()
+    assert got == 599 and sum(m.count() for m in met) < 40 * 600
+
+
+def test_lines_beyond_the_first_of_a_key_are_found(spark, monkeypatch):
+    """With one head per key, nearly all pairs are late ones."""
+    monkeypatch.setattr(lines, "HEADS", 1)
+    for edits in (1, 2):
+        pairs = texts(60, 20 + edits)
+        rows = [(i, f"common start of it {a}\ncommon start of it {b}\nshort") for i, (a, b) in enumerate(pairs)]
+        df = spark.createDataFrame(rows, "doc_id bigint, text string")
+        got = {r["doc_id"]: r["text"] for r in lines.drop_lines(df, edits=edits, min_chars=8).collect()}
+        assert got == brute(rows, edits, 8)
+
+
 def test_short_lines_go_as_exact_repeats_where_asked(spark):
     line = "this line is long enough to be compared with the other ones"
     rows = [(1, f"Menu\nHome\n\n{line}\nHomes"), (2, f" menu \n\n{line}s\nhome\nOnly here\n\nonly here"), (3, "HOME")]
