@@ -27,6 +27,17 @@ def bucket(key: str, buckets: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % buckets
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before them where ``df`` has such columns (whatever the case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

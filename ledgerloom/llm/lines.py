@@ -21,8 +21,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.arithmetic import col
 from ..sources import checkpoint
-from .common import stored, table
+from .common import fresh, stored, table
 
 EDITS = 1
 #: Shorter lines (code points, trimmed) are not compared, and removed only as exact repeats where a caller asks for that.
@@ -219,9 +220,10 @@ def later_lines(pairs: DataFrame, firsts: DataFrame, slim: DataFrame, edits: int
 
 
 def drop_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, repeats_from: int | None = None
-) -> DataFrame:
-    """``docs`` with ``text_col`` less the lines met before, plus ``__lines`` and ``__removed`` (numbers of lines).
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS, repeats_from: int | None = None,
+    counts: tuple[str, str] = ("__lines", "__removed"),
+) -> DataFrame:
+    """``docs`` with ``text_col`` less the lines met before, plus two columns ``counts``: numbers of lines, and of those removed.
 
     Lines are parted by line feeds and compared trimmed and in lower case.  A
     line of ``min_chars`` or more goes if the same line, or one at most ``edits``
@@ -231,9 +233,9 @@ def drop_lines(
     for one that goes itself.  Null texts stay null and have no lines.  Rows with
     a null id stay as they are.  Rows of equal id and text count as one document
     and are treated alike; of an id with several texts the order is by hash.
-    Other columns are passed through.
+    Other columns are passed through, whatever their names; names for ``counts`` must be free.
     """
-    spark = docs.sparkSession
+    id_, th_, gone_id, gone_th, gone_ = fresh(docs, "__id", "__th", "__gone_id", "__gone_th", "__gone")
     th = F.xxhash64(F.col(text_col))
     slim = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), th.alias("th"), F.col(text_col).alias("text"))
     least = min_chars if repeats_from is None else min(min_chars, repeats_from)
@@ -259,23 +261,22 @@ def drop_lines(
     gone = (
         places.join(marks.select("h", "h2", "first", "near"), ["h", "h2"]).where(F.col("near") | (where != F.col("first"))).select("id", "th", "pos")
     )
-    removed = gone.groupBy(F.col("id").alias("__gone_id"), F.col("th").alias("__gone_th")).agg(F.collect_set("pos").alias("__gone"))
+    removed = gone.groupBy(F.col("id").alias(gone_id), F.col("th").alias(gone_th)).agg(F.collect_set("pos").alias(gone_))
     removed = checkpoint(removed)
 
     # Texts that lose nothing are not shuffled.
     key = F.xxhash64(F.col(id_col).cast("bigint"))
-    known = {"__id": F.col(id_col).cast("bigint"), "__th": th}
-    base = docs.withColumns(known)
-    hit = F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & _in_set(_set_of(removed, F.xxhash64("__gone_id")), key)
+    base = docs.withColumns({id_: F.col(id_col).cast("bigint"), th_: th})
+    hit = F.col(id_col).isNotNull() & F.col(text_col).isNotNull() & _in_set(_set_of(removed, F.xxhash64(gone_id)), key)
     split = F.split(F.col(text_col), "\n")
     count = F.coalesce(F.size(split), F.lit(0)).cast("bigint")
     count = F.when(F.col(text_col).isNull(), F.lit(0).cast("bigint")).otherwise(count)
-    whole = base.where(~hit).select(*docs.columns, count.alias("__lines"), F.lit(0).cast("bigint").alias("__removed"))
-    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__gone")), lambda i: F.get(split, i))
-    changed = base.where(hit).join(removed, (F.col("__id") == F.col("__gone_id")) & (F.col("__th") == F.col("__gone_th")), "left").select(
-        *[F.when(F.col("__gone").isNull(), F.col(c)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col else F.col(c) for c in docs.columns],
-        count.alias("__lines"),
-        F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).cast("bigint").alias("__removed"),
+    whole = base.where(~hit).select(*[col(c) for c in docs.columns], count.alias(counts[0]), F.lit(0).cast("bigint").alias(counts[1]))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col(gone_)), lambda i: F.get(split, i))
+    changed = base.where(hit).join(removed, (F.col(id_) == F.col(gone_id)) & (F.col(th_) == F.col(gone_th)), "left").select(
+        *[F.when(F.col(gone_).isNull(), col(c)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col else col(c) for c in docs.columns],
+        count.alias(counts[0]),
+        F.when(F.col(gone_).isNull(), 0).otherwise(F.size(gone_)).cast("bigint").alias(counts[1]),
     )
     return whole.union(changed)
 

@@ -53,16 +53,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, fp`` (fp as a signed long) per row; a null text counts as empty."""
+    """``id, fp, th`` (fp as a signed long, th the hash of the text) per row; a null text counts as empty."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             values = [fingerprint(t) for t in texts(b.column(1)).cast(pa.large_binary()).to_pylist()]
             fp = pa.array(np.array(values, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), fp], names=["id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), fp, b.column(2)], names=["id", "fp", "th"])
 
-    chosen = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    return arrow(chosen, step, "id bigint, fp bigint")
+    chosen = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("th"))
+    return arrow(chosen, step, "id bigint, fp bigint, th bigint")
 
 
 def bit_counts(distinct: DataFrame) -> np.ndarray:
@@ -191,7 +191,9 @@ def links(distinct: DataFrame, distance: int = DISTANCE, parts: Sequence[tuple[S
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE) -> DataFrame:
-    """``id, fp, component`` per row of ``docs``; the component is its smallest id.
+    """``id, fp, th, group, component`` per row of ``docs``; the component is its smallest id, th the hash of the text.
+
+    Components are told apart by ``group``: where ids repeat, two may have one smallest id.
 
     Null and empty texts have fingerprint zero and link with each other and with
     whatever lies near zero.  Rows with a null id take part; a component of such
@@ -206,8 +208,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "fp", "least", F.coalesce("component", "fp").alias("group")
     )
     smallest = labelled.groupBy("group").agg(F.min("least").alias("component"))
-    known = checkpoint(labelled.join(smallest, "group").select("fp", "component"))
-    return marked.join(known, "fp").select("id", "fp", "component")
+    known = checkpoint(labelled.join(smallest, "group").select("fp", "group", "component"))
+    return marked.join(known, "fp").select("id", "fp", "th", "group", "component")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,3 +84,23 @@ def test_words_of_sliced_batches():
         assert (n == 3).all()
         words += w.to_pylist()
     assert words == [x for t in texts for x in t.lower().split()]
+
+
+def test_no_document_goes_for_its_id_alone(spark):
+    """Rows that share an id are judged by their texts, and of equal rows one stays."""
+    a, b, c = ("the first text of them " * 5, "something else in other words entirely " * 4, "a third one that shares nothing with those " * 4)
+    df = spark.createDataFrame([(1, a), (1, b), (2, c), (1, a), (3, b)], "doc_id bigint, text string")
+    assert sorted(map(tuple, P.near_dedup(spark, df, "").collect())) == sorted([(1, a), (1, b), (2, c)])
+
+
+def test_columns_of_any_name_pass(spark):
+    line = "this line is long enough to be compared with the other ones"
+    extra = ["a.b", "__id", "__th", "__gone", "__lines", "__removed", "__row", "component", "group", "fp"]
+    schema = "doc_id bigint, text string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in extra)
+    df = spark.createDataFrame([(i, f"{line}\nand more {i}", 0, *[f"{c}{i}" for c in extra]) for i in range(3)], schema)
+    less = P.line_dedup(spark, df, "")
+    assert less.columns == df.columns and {r["doc_id"]: (r["text"].count("\n"), r["a.b"], r["__lines"]) for r in less.collect()} == {
+        0: (1, "a.b0", "__lines0"), 1: (0, "a.b1", "__lines1"), 2: (0, "a.b2", "__lines2"),
+    }
+    one = P.near_dedup(spark, df, "")
+    assert one.columns == df.columns and all(r["__id"] == f"__id{r['doc_id']}" for r in one.collect())
