@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import stored, table
+from ledgerloom.functions.arithmetic import col
+from ledgerloom.llm.common import fresh, stored, table
 from ledgerloom.llm.decontaminate import drop_contaminated
 from ledgerloom.llm.lines import drop_lines
 from ledgerloom.llm.packing import pack
@@ -27,24 +28,29 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Exact repeats of all lines but blank ones go, repeats up to two edits of the longer ones.
     """
-    less = drop_lines(docs, edits=2, repeats_from=1)
+    names = fresh(docs, "__lines", "__removed")
+    less = drop_lines(docs, edits=2, repeats_from=1, counts=(names[0], names[1]))
     if "n_chars" in docs.columns:
-        size = F.when(F.col("__removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        size = F.when(F.col(names[1]) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
         less = less.withColumn("n_chars", size)
-    return less.select(*docs.columns)
+    return less.select(*[col(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each group of near-duplicates.
 
-    Rows with a null id, which no group can be told by, stay.  Of rows that
-    share an id, the one whose text hashes lowest stays.
+    Rows with a null id, which no group can be told by, stay.  Rows that share an
+    id are told apart by their texts, each in its own group, so that none goes for
+    its id alone; of several texts of the smallest id the one that hashes lowest
+    stays, and of equal rows one.
     """
-    kept = near_duplicates(docs).where(F.col("id") == F.col("component")).select(F.col("id").alias("__id")).distinct()
-    here = docs.join(kept, F.col("doc_id") == F.col("__id"), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text"))
-    one = here.withColumn("__row", first).where("__row = 1").select(*docs.columns)
-    return one.union(docs.where("doc_id IS NULL"))
+    id_, th_, row = fresh(docs, "__id", "__th", "__row")
+    groups = near_duplicates(docs).where("id IS NOT NULL").groupBy("group").agg(F.min(F.struct("id", "th")).alias("first"))
+    kept = groups.select(F.col("first.id").alias(id_), F.col("first.th").alias(th_))
+    here = docs.join(kept, (F.col("doc_id") == F.col(id_)) & (F.xxhash64("text") == F.col(th_)))
+    one = here.withColumn(row, F.row_number().over(Window.partitionBy(id_, th_).orderBy(th_))).where(F.col(row) == 1)
+    names = [col(c) for c in docs.columns]
+    return one.select(*names).union(docs.where("doc_id IS NULL").select(*names))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
