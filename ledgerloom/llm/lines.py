@@ -140,7 +140,7 @@ def _in_set(bits: Column, hashes: Column) -> Column:
 
 
 def line_keys(occurrences: DataFrame, edits: int) -> DataFrame:
-    """``h, sketch, key, probe, id`` of lines ``h, line, length, id``, stored; a row per line and key, with the line's smallest id.
+    """``h, sketch, key, probe`` of lines ``h, line, length``, stored; a row per line and key.
 
     Keys a line is found by are no probes; copies of a line are one row.
     """
@@ -149,9 +149,8 @@ def line_keys(occurrences: DataFrame, edits: int) -> DataFrame:
     sketch = reduce(Column.bitwiseOR, [F.call_function("shiftleft", n, F.lit(k * COUNT_BITS)) for k, n in enumerate(counts)])
     own, others = _keys(F.col("line"), F.col("length"), edits)
     keys = [F.struct(key.alias("key"), F.lit(i >= len(own)).alias("probe")) for i, key in enumerate([*own, *others])]
-    rows = occurrences.select("h", sketch.alias("sketch"), F.array(*keys).alias("keys"), "id")
-    rows = rows.select("h", "sketch", F.inline("keys"), "id").groupBy("h", "sketch", "key", "probe").agg(F.min("id").alias("id"))
-    return stored(rows, "line-keys")
+    rows = occurrences.select("h", sketch.alias("sketch"), F.array(*keys).alias("keys"))
+    return stored(rows.select("h", "sketch", F.inline("keys")).distinct(), "line-keys")
 
 
 def _letters_apart(a: str, b: str) -> Column:
@@ -165,16 +164,30 @@ def _pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def early_pairs(rows: DataFrame, edits: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``a, b`` of line hashes that may be near: each line with the ``HEADS`` earliest under its keys; and the keys that have more."""
-    order = Window.partitionBy("key").orderBy("id", "h")
-    ranked = rows.where("NOT probe").select("key", "id", "h", "sketch", F.row_number().over(order).alias("place"))
-    heads = stored(ranked.where(F.col("place") <= HEADS + 1), "line-heads")
-    left = heads.where(F.col("place") <= HEADS).select("key", F.col("h").alias("a"), "sketch")
-    right = rows.select(F.col("key").alias("key2"), F.col("h").alias("b"), F.col("sketch").alias("sketch2"))
-    apart = _letters_apart(F.col("sketch"), F.col("sketch2"))
-    met = left.hint("shuffle_merge").join(right, (F.col("key") == F.col("key2")) & (F.col("a") != F.col("b")) & (apart <= 2 * edits))
-    return _pairs(met), heads.where(F.col("place") > HEADS).select("key")
+def deep_keys(rows: DataFrame) -> DataFrame:
+    """The keys that more than ``HEADS`` lines are found by."""
+    return checkpoint(rows.where("NOT probe").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HEADS).select("key"))
+
+
+def early_pairs(rows: DataFrame, deep: DataFrame | None, firsts: DataFrame, edits: int) -> DataFrame:
+    """Pairs ``a, b`` of line hashes that may be near: each line with those of its keys, of ``deep`` keys the ``HEADS`` earliest.
+
+    Only lines of deep keys are ranked and dealt out for that.
+    """
+    left = rows.where("NOT probe").select("key", "h", "sketch")
+    if deep is not None:
+        bits = _set_of(deep, F.col("key"))
+        some = stored(left.where(_in_set(bits, F.col("key"))), "line-deep-own")
+        places = firsts.select(F.col("h").alias("h1"), "first").where(_in_set(_set_of(some, F.col("h")), F.col("h1")))
+        order = Window.partitionBy("key").orderBy("first", "h")
+        ranked = some.join(places, F.col("h") == F.col("h1")).withColumn("place", F.row_number().over(order))
+        left = left.where(~_in_set(bits, F.col("key"))).union(ranked.where(F.col("place") <= HEADS).select("key", "h", "sketch"))
+    left = left.withColumnRenamed("h", "a")
+    right = rows.select(F.col("key").alias("key2"), F.col("h").alias("b"), F.col("sketch").alias("sketch2"), "probe")
+    # Under a deep key a line may be later than a head and have the smaller hash.
+    once = F.col("a") != F.col("b") if deep is not None else (F.col("a") < F.col("b")) | (F.col("probe") & (F.col("a") != F.col("b")))
+    met = left.hint("shuffle_merge").join(right, (F.col("key") == F.col("key2")) & once & (_letters_apart(F.col("sketch"), F.col("sketch2")) <= 2 * edits))
+    return _pairs(met)
 
 
 def late_pairs(rows: DataFrame, deep: DataFrame, decided: DataFrame, edits: int) -> DataFrame:
@@ -244,10 +257,13 @@ def drop_lines(
     where = F.struct("id", "th", "pos")
     firsts = stored(places.groupBy("h", "h2").agg(F.min(where).alias("first"), F.count(F.lit(1)).alias("n")), "line-firsts")
 
-    rows = line_keys(lines.where(F.col("length") >= min_chars).select("h", "line", "length", "id"), edits)
-    early, deep = early_pairs(rows, edits)
-    later = stored(later_lines(stored(early, "line-pairs"), firsts, slim, edits), "line-later")
-    if not deep.isEmpty():
+    rows = line_keys(lines.where(F.col("length") >= min_chars).select("h", "line", "length"), edits)
+    deep = deep_keys(rows)
+    none = deep.isEmpty()
+    early = early_pairs(rows, None if none else deep, firsts, edits)
+    later = later_lines(stored(early, "line-pairs"), firsts, slim, edits)
+    if not none:
+        later = stored(later, "line-later")
         late = stored(late_pairs(rows, deep, later.select("h").distinct(), edits), "line-pairs")
         later = later.union(later_lines(late, firsts, slim, edits)).distinct()
 
