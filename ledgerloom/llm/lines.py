@@ -6,9 +6,9 @@ probed with the substrings that multi-match-aware bounds allow for each length
 difference.  A sketch of letter counts, which T edits change by 2 T in all at
 most, is part of the join condition, so that lines which only share a segment are
 never put out as pairs.  A banded bit-parallel edit distance settles the rest.
-A line goes if any line near it comes first, so it need not meet all of them: it first
-meets the few earliest lines under each of its keys, and only a line that these leave
-undecided meets the rest of the keys that have more.
+A line goes if any line near it comes first, so it need not meet all of them: under a
+key that many lines share it first meets the few earliest, and only a line that these
+leave undecided meets the rest.  There, counts of more letters are compared as well.
 Texts are not shuffled for any of this but for documents that hold candidates or
 lose lines; a bit set of fixed size, sent to all tasks, tells which these may be.
 """
@@ -30,10 +30,14 @@ EDITS = 1
 MIN_CHARS = 40
 #: Characters whose counts make up the sketch, with the bits of a count (a larger count is cut to the largest).
 SKETCH, COUNT_BITS = " etnr", 12
+#: Characters counted besides, modulo 256, in the lines of keys with many lines; eight to a column.
+WIDE = "aoishdlu", "cmpfgybv", "wkxqzj.,"
 #: Bits of the document sets that are broadcast (256 kB); a fuller set only lets more documents through.
 SET_BITS = 1 << 21
 #: Lines of a key that every line of the key is compared with at first.
 HEADS = 16
+#: Columns after which the verification of long lines may stop.
+HEAD = 32
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -41,12 +45,26 @@ def _let(value: Column, then: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), then), 0)
 
 
+def _shared(x: Column, y: Column, most: Column, end: bool) -> Column:
+    """How many characters, up to ``most``, two texts have in common at their start or ``end``: a search by halves."""
+    nx, ny = F.length(x), F.length(y)
+
+    def grow(n: Column, step: Column) -> Column:
+        at = (nx - n - step + 1, ny - n - step + 1) if end else (n + 1, n + 1)
+        same = F.when(n + step <= most, F.substr(x, at[0], step) == F.substr(y, at[1], step))
+        return n + F.when(same, step).otherwise(0)
+
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in reversed(range(31))]), F.lit(0), grow)
+
+
 def edit_distance_within(a: Column, b: Column, edits: int) -> Column:
     """Whether texts ``a`` (the longer) and ``b`` are at most ``edits`` apart.
 
-    Bit-parallel, banded: bit d of a vector stands for row j - edits + d in
-    column j.  Up to the column where the band meets the last row the distance
-    is followed along the lowest diagonal, then along the last row.
+    What both start and end with is cut off first.  Then bit-parallel, banded:
+    bit d of a vector stands for row j - edits + d in column j.  Up to the column
+    where the band meets the last row the distance is followed along the lowest
+    diagonal, then along the last row.  A long text is followed for ``HEAD``
+    columns at first; where the whole band is beyond ``edits`` there, so is the end.
     """
     width = 2 * edits + 1
     zero = F.lit(0).cast("bigint")
@@ -57,34 +75,61 @@ def edit_distance_within(a: Column, b: Column, edits: int) -> Column:
     def bit(x: Column, place: Column) -> Column:
         return F.call_function("shiftright", x, place).bitwiseAND(F.lit(1).cast("bigint"))
 
-    def within(t: Column) -> Column:
-        p, q, m = t["p"], t["q"], t["m"]
+    def follow(x: Column, y: Column, m: Column, end: Callable[[Column], Column]) -> Column:
+        """``end`` of the last state, over the columns ``y``, of a text of ``m`` characters that starts with ``x``."""
+
+        def columns(t: Column) -> Column:
+            p, q = t["p"], t["q"]
+
+            def same(c: Column, at: Column) -> Column:  # at: the column, from 0
+                hits = [F.when((at >= edits - d) & F.get(p, at - edits + d).eqNullSafe(c), F.lit(1 << d).cast("bigint")).otherwise(zero) for d in range(width)]
+                return reduce(Column.bitwiseOR, hits)
+
+            def advance(s: Column, x: Column) -> Column:
+                eq, vp, vn = x["eq"], s["vp"], s["vn"]
+                last = m - x["j"] + edits  # the bit of the last row, once the band has met it
+
+                def step(d0: Column) -> Column:
+                    hp, hn, down = vn.bitwiseOR(F.bitwise_not(d0.bitwiseOR(vp))), d0.bitwiseAND(vp), F.shiftright(d0, 1)
+                    change = F.when(x["j"] <= m - edits, 1 - bit(d0, F.lit(2 * edits))).otherwise(bit(hp, last) - bit(hn, last))
+                    return F.struct(
+                        bits(hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp)))).alias("vp"),
+                        bits(down.bitwiseAND(hp)).alias("vn"),
+                        (s["dist"] + change).alias("dist"),
+                    )
 
-        def same(c: Column, at: Column) -> Column:  # at: the column, from 0
-            hits = [F.when((at >= edits - d) & F.get(p, at - edits + d).eqNullSafe(c), F.lit(1 << d).cast("bigint")).otherwise(zero) for d in range(width)]
-            return reduce(Column.bitwiseOR, hits)
+                return _let(bits((eq.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(eq).bitwiseOR(vn)), step)
 
-        def advance(s: Column, x: Column) -> Column:
-            eq, vp, vn = x["eq"], s["vp"], s["vn"]
-            last = m - x["j"] + edits  # the bit of the last row, once the band has met it
+            first = F.lit(((1 << (edits + 1)) - 1) << edits).cast("bigint")
+            start = F.struct(first.alias("vp"), zero.alias("vn"), F.lit(edits).cast("bigint").alias("dist"))
+            return F.aggregate(F.transform(q, lambda c, at: F.struct(same(c, at).alias("eq"), (at + 1).alias("j"))), start, advance, end)
 
-            def step(d0: Column) -> Column:
-                hp, hn, down = vn.bitwiseOR(F.bitwise_not(d0.bitwiseOR(vp))), d0.bitwiseAND(vp), F.shiftright(d0, 1)
-                change = F.when(x["j"] <= m - edits, 1 - bit(d0, F.lit(2 * edits))).otherwise(bit(hp, last) - bit(hn, last))
-                return F.struct(
-                    bits(hn.bitwiseOR(F.bitwise_not(down.bitwiseOR(hp)))).alias("vp"),
-                    bits(down.bitwiseAND(hp)).alias("vn"),
-                    (s["dist"] + change).alias("dist"),
-                )
+        return _let(F.struct(F.split(x, "").alias("p"), F.split(y, "").alias("q")), columns)
 
-            return _let(bits((eq.bitwiseAND(vp) + vp).bitwiseXOR(vp).bitwiseOR(eq).bitwiseOR(vn)), step)
+    def least(s: Column) -> Column:
+        """The smallest value of the band, up from the lowest diagonal."""
+        values = [s["dist"]]
+        for d in reversed(range(2 * edits)):
+            values.append(values[-1] - bit(s["vp"], F.lit(d)) + bit(s["vn"], F.lit(d)))
+        return F.least(*values) <= edits
 
-        columns = F.transform(q, lambda c, at: F.struct(same(c, at).alias("eq"), (at + 1).alias("j")))
-        first = F.lit(((1 << (edits + 1)) - 1) << edits).cast("bigint")
-        start = F.struct(first.alias("vp"), zero.alias("vn"), F.lit(edits).cast("bigint").alias("dist"))
-        return F.aggregate(columns, start, advance, lambda s: s["dist"] <= edits)
+    def within(t: Column) -> Column:
+        x, y, m = t["x"], t["y"], F.length(t["x"])
+        hopeful = follow(F.left(x, F.lit(HEAD + edits)), F.left(y, F.lit(HEAD)), m, least)
+        whole = follow(x, y, m, lambda s: s["dist"] <= edits)
+        long = (m >= 2 * HEAD) & (F.length(y) >= HEAD)
+        return F.when(m <= edits, F.length(y) <= m).when(F.length(y) < m - edits, False).when(long & ~hopeful, False).otherwise(whole)
+
+    def middle(t: Column, n: Column) -> Column:
+        return F.substr(t, n["start"] + 1, F.length(t) - n["start"] - n["end"])
+
+    def cut(t: Column) -> Column:
+        x, y = t["x"], t["y"]
+        tail = lambda n: F.struct(n.alias("start"), _shared(x, y, F.length(y) - n, True).alias("end"))
+        ends = _let(_shared(x, y, F.length(y), False), tail)
+        return _let(_let(ends, lambda n: F.struct(middle(x, n).alias("x"), middle(y, n).alias("y"))), within)
 
-    return _let(F.struct(F.split(a, "").alias("p"), F.split(b, "").alias("q"), F.length(a).alias("m")), within)
+    return _let(F.struct(a.alias("x"), b.alias("y")), cut)
 
 
 def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
@@ -160,6 +205,22 @@ def _letters_apart(a: str, b: str) -> Column:
     return reduce(Column.__add__, [F.abs(count(a, k) - count(b, k)) for k in range(len(SKETCH))])
 
 
+def _wide(line: Column) -> list[Column]:
+    """Counts of the letters ``WIDE``, a byte each."""
+    counts = [[(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))).bitwiseAND(255).cast("bigint") for c in part] for part in WIDE]
+    return [reduce(Column.bitwiseOR, [F.call_function("shiftleft", n, F.lit(8 * k)) for k, n in enumerate(part)]) for part in counts]
+
+
+def _wide_apart(a: str, b: str) -> list[Column]:
+    """By how many letters of each part of ``WIDE`` two lines differ at least; ``a`` and ``b`` name arrays."""
+
+    def apart(part: int, k: int) -> Column:
+        byte = lambda x: F.shiftright(F.get(x, F.lit(part)), 8 * k).bitwiseAND(F.lit(255).cast("bigint"))
+        return 128 - F.abs(128 - F.abs(byte(a) - byte(b)))
+
+    return [reduce(Column.__add__, [apart(part, k) for k in range(len(letters))]) for part, letters in enumerate(WIDE)]
+
+
 def _pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -169,46 +230,46 @@ def deep_keys(rows: DataFrame) -> DataFrame:
     return checkpoint(rows.where("NOT probe").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HEADS).select("key"))
 
 
-def early_pairs(rows: DataFrame, deep: DataFrame | None, firsts: DataFrame, edits: int) -> DataFrame:
-    """Pairs ``a, b`` of line hashes that may be near: each line with those of its keys, of ``deep`` keys the ``HEADS`` earliest.
-
-    Only lines of deep keys are ranked and dealt out for that.
-    """
-    left = rows.where("NOT probe").select("key", "h", "sketch")
-    if deep is not None:
-        bits = _set_of(deep, F.col("key"))
-        some = stored(left.where(_in_set(bits, F.col("key"))), "line-deep-own")
-        places = firsts.select(F.col("h").alias("h1"), "first").where(_in_set(_set_of(some, F.col("h")), F.col("h1")))
-        order = Window.partitionBy("key").orderBy("first", "h")
-        ranked = some.join(places, F.col("h") == F.col("h1")).withColumn("place", F.row_number().over(order))
-        left = left.where(~_in_set(bits, F.col("key"))).union(ranked.where(F.col("place") <= HEADS).select("key", "h", "sketch"))
-    left = left.withColumnRenamed("h", "a")
+def shallow_pairs(rows: DataFrame, edits: int) -> DataFrame:
+    """Pairs ``a, b`` of line hashes that may be near: each line with those of its keys."""
+    left = rows.where("NOT probe").select("key", F.col("h").alias("a"), "sketch")
     right = rows.select(F.col("key").alias("key2"), F.col("h").alias("b"), F.col("sketch").alias("sketch2"), "probe")
-    # Under a deep key a line may be later than a head and have the smaller hash.
-    once = F.col("a") != F.col("b") if deep is not None else (F.col("a") < F.col("b")) | (F.col("probe") & (F.col("a") != F.col("b")))
+    once = (F.col("a") < F.col("b")) | (F.col("probe") & (F.col("a") != F.col("b")))
     met = left.hint("shuffle_merge").join(right, (F.col("key") == F.col("key2")) & once & (_letters_apart(F.col("sketch"), F.col("sketch2")) <= 2 * edits))
     return _pairs(met)
 
 
-def late_pairs(rows: DataFrame, deep: DataFrame, decided: DataFrame, edits: int) -> DataFrame:
-    """Pairs of lines under the keys ``deep``, at least one of them not among the ``decided`` (``h``)."""
-    some = rows.where(_in_set(_set_of(deep, F.col("key")), F.col("key")))
-    some = some.join(decided.select("h", F.lit(False).alias("open")), "h", "left").withColumn("open", F.coalesce("open", F.lit(True)))
-    some = stored(some, "line-deep")
-    left = some.where("NOT probe").select("key", F.col("h").alias("a"), "sketch", F.col("open").alias("open_a"))
-    right = some.select(F.col("key").alias("key2"), F.col("h").alias("b"), F.col("sketch").alias("sketch2"), "probe", F.col("open").alias("open_b"))
-    once = (F.col("a") < F.col("b")) | (F.col("probe") & (F.col("a") != F.col("b")))
-    near = once & (F.col("open_a") | F.col("open_b")) & (_letters_apart(F.col("sketch"), F.col("sketch2")) <= 2 * edits)
-    return _pairs(left.hint("shuffle_merge").join(right, (F.col("key") == F.col("key2")) & near))
+def _deep_pairs(left: DataFrame, right: DataFrame, which: Column, edits: int) -> DataFrame:
+    """Pairs of lines of one key, ``left`` those that it is found by, where ``which`` holds of ``place`` and ``open`` (on the right ``open2``)."""
+    right = right.select(
+        F.col("key").alias("key2"), F.col("h").alias("b"), F.col("sketch").alias("sketch2"), F.col("wide").alias("wide2"), F.col("probe").alias("probe2"),
+        F.col("open").alias("open2"),
+    )
+    apart = [_letters_apart(F.col("sketch"), F.col("sketch2")), *_wide_apart("wide", "wide2")]
+    for n in range(1, len(apart) + 1):  # few pairs get beyond the first part
+        which = which & (reduce(Column.__add__, apart[:n]) <= 2 * edits)
+    met = left.withColumnRenamed("h", "a").hint("shuffle_merge").join(right, (F.col("key") == F.col("key2")) & which)
+    return _pairs(met)
 
 
-def later_lines(pairs: DataFrame, firsts: DataFrame, slim: DataFrame, edits: int) -> DataFrame:
-    """``h, h2`` of the later line of each pair ``a, b`` that is at most ``edits`` apart, each once.
+def head_pairs(some: DataFrame, edits: int) -> DataFrame:
+    """Pairs under deep keys, each line with the ``HEADS`` earliest that a key finds.  ``some``: ``key, h, sketch, probe, first, wide``."""
+    order = Window.partitionBy("key").orderBy("first", "h")
+    heads = some.where("NOT probe").withColumn("place", F.row_number().over(order)).where(F.col("place") <= HEADS)
+    # A line may be later than a head and have the smaller hash.
+    return _deep_pairs(heads, some.withColumn("open", F.lit(True)), F.col("a") != F.col("b"), edits)
 
-    The first occurrence of each side is fetched from the documents that hold one.
-    """
-    asked = pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
-    asked = checkpoint(firsts.join(asked, "h").select("h", "h2", "first"))
+
+def late_pairs(some: DataFrame, decided: DataFrame, edits: int) -> DataFrame:
+    """Pairs under deep keys, at least one line of which is not among the ``decided`` (``h``)."""
+    some = some.join(decided.select("h", F.lit(False).alias("open")), "h", "left").withColumn("open", F.coalesce("open", F.lit(True)))
+    once = (F.col("a") < F.col("b")) | (F.col("probe2") & (F.col("a") != F.col("b")))
+    return _deep_pairs(some.where("NOT probe"), some, once & (F.col("open") | F.col("open2")), edits)
+
+
+def line_texts(hashes: DataFrame, firsts: DataFrame, slim: DataFrame) -> DataFrame:
+    """``h, h2, first, line`` of the lines ``hashes`` (``h``, distinct), fetched from the documents that hold their first occurrences; stored."""
+    asked = checkpoint(firsts.join(hashes, "h").select("h", "h2", "first"))
     wanted = asked.select(F.col("first.id").alias("id"), F.col("first.th").alias("th"), F.col("first.pos").alias("pos"), "h", "h2")
     some = slim.where(_in_set(_set_of(wanted, F.xxhash64("id")), F.xxhash64("id")))
     per_doc = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("pos", "h", "h2")).alias("at"))
@@ -216,7 +277,15 @@ def later_lines(pairs: DataFrame, firsts: DataFrame, slim: DataFrame, edits: int
         some.distinct().join(per_doc, ["id", "th"]).select("id", "th", F.split("text", "\n").alias("lines"), F.explode("at").alias("x"))
         .select("x.h", "x.h2", F.struct("id", "th", "x.pos").alias("first"), F.lower(F.trim(F.get("lines", F.col("x.pos")))).alias("line"))
     )
-    texts = stored(texts, "line-texts")
+    return stored(texts, "line-texts")
+
+
+def _lines_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("h")).union(pairs.select(F.col("b").alias("h"))).distinct()
+
+
+def later_lines(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """``h, h2`` of the later line of each pair ``a, b`` that is at most ``edits`` apart, each once; ``texts`` of :func:`line_texts`."""
     left = texts.select(F.col("h").alias("a"), F.col("h2").alias("a2"), F.col("first").alias("first_a"), F.col("line").alias("x"))
     right = texts.select(F.col("h").alias("b"), F.col("h2").alias("b2"), F.col("first").alias("first_b"), F.col("line").alias("y"))
     both = pairs.join(left, "a").join(right, "b").where(F.abs(F.length("x") - F.length("y")) <= edits)
@@ -259,13 +328,20 @@ def drop_lines(
 
     rows = line_keys(lines.where(F.col("length") >= min_chars).select("h", "line", "length"), edits)
     deep = deep_keys(rows)
-    none = deep.isEmpty()
-    early = early_pairs(rows, None if none else deep, firsts, edits)
-    later = later_lines(stored(early, "line-pairs"), firsts, slim, edits)
-    if not none:
-        later = stored(later, "line-later")
-        late = stored(late_pairs(rows, deep, later.select("h").distinct(), edits), "line-pairs")
-        later = later.union(later_lines(late, firsts, slim, edits)).distinct()
+    if deep.isEmpty():
+        pairs = stored(shallow_pairs(rows, edits), "line-pairs")
+        later = later_lines(pairs, line_texts(_lines_of(pairs), firsts, slim), edits)
+    else:
+        bits = _set_of(deep, F.col("key"))
+        some = rows.where(_in_set(bits, F.col("key")))
+        texts = line_texts(some.select("h").distinct(), firsts, slim)
+        known = texts.select("h", F.col("first"), F.array(*_wide(F.col("line"))).alias("wide"))
+        some = stored(some.join(known, "h"), "line-deep")
+        later = stored(later_lines(stored(head_pairs(some, edits), "line-pairs"), texts, edits), "line-later")
+        late = stored(late_pairs(some, later.select("h").distinct(), edits), "line-pairs")
+        pairs = stored(shallow_pairs(rows.where(~_in_set(bits, F.col("key"))), edits), "line-pairs")
+        near = later_lines(pairs, line_texts(_lines_of(pairs), firsts, slim), edits)
+        later = later.union(later_lines(late, texts, edits)).union(near).distinct()
 
     # Where lines go: every place of a line with an earlier neighbour, and of a repeated line all but the first.
     marks = (
