@@ -1074,6 +1074,9 @@ def _recipe(build: Callable[[CreditTables], DataFrame]) -> Query:
     return lambda spark, sf_dir: settle(build(CreditTables(spark, sf_dir)))
 
 
+#: Buckets of the co-partitioned wide table: so many tasks join it.
+WIDE_BUCKETS = 32
+
 _APP = ("application_train", "application_test")
 
 QUERIES: dict[str, Query] = {
@@ -1117,6 +1120,7 @@ QUERIES: dict[str, Query] = {
     "pipe_card_behaviour": _recipe(lambda t: plans.card_behaviour(t["credit_card_balance"])),
     "pipe_card_means": _recipe(lambda t: plans.card_means(t["credit_card_balance"])),
     "pipe_wide": _recipe(plans.wide_base),
+    "pipe_wide_bucketed": _recipe(lambda t: plans.wide_base(t, buckets=WIDE_BUCKETS)),
     "pipe_wide_nested": _recipe(plans.wide_nested),
     "pipe_wide_ratios": _recipe(plans.wide_ratios),
     "pipe_wide_age": _recipe(plans.wide_age),
@@ -1154,6 +1158,7 @@ def oracle_sql() -> dict[str, str]:
         "pipe_card_behaviour": card_behaviour_block,
         "pipe_card_means": card_means_block,
         "pipe_wide": wide_base_block,
+        "pipe_wide_bucketed": wide_base_block,
         "pipe_wide_nested": wide_nested_block,
         "pipe_wide_ratios": wide_ratios_block,
         "pipe_wide_age": wide_age_block,

@@ -9,6 +9,7 @@ from .aggregate import (
     percent_below,
     summarize,
 )
+from .colocate import bucketed, star, together
 from .encode import (
     category_lists,
     category_share_rows,
@@ -18,11 +19,13 @@ from .encode import (
     label_encode,
     label_encode_binary,
     learn_categories,
+    learn_values,
     one_hot,
     one_hot_encoder,
     one_hot_sparse,
     rare_labels,
     rare_labels_percent,
+    text_columns,
 )
 from .join import align, attach, exists_flag, join_suffixed, semi_join_top, top_rows, union_all_by_name
 from .lookup import attach_group_stats, lookup_join

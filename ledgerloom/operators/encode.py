@@ -64,6 +64,33 @@ def learn_counts(df: DataFrame, columns: Sequence[str], limit: int = MAX_INDICAT
     return out
 
 
+def learn_values(
+    df: DataFrame, columns: Sequence[str], order: Column | None = None, limit: int = MAX_INDICATORS
+) -> dict[str, list]:
+    """Values of each column in code order, nulls last: one pass for all encoders of a table.
+
+    Code order is that of the value or, with ``order`` (unique per row), of first
+    appearance.  A column of more than ``limit`` values is left out; encoders
+    that take such columns learn them by a distributed sort.
+    """
+    columns = list(columns)
+    if not columns:
+        return {}
+    text = df.select(*([] if order is None else [order.alias("__order")]), *[col(c).cast("string").alias(c) for c in columns])
+    long = text.unpivot([] if order is None else ["__order"], columns, "column", "value")
+    first = F.col("value") if order is None else F.col("__order")
+    values = long.groupBy("column", "value").agg(F.min(first).alias("first"))
+    nth = F.row_number().over(Window.partitionBy("column").orderBy("value"))
+    out: dict[str, list] = {c: [] for c in columns}
+    for row in values.withColumn("__nth", nth).where(F.col("__nth") <= limit + 1).collect():
+        out[row["column"]].append(row)
+    return {
+        c: [r["value"] for r in sorted(rows, key=lambda r: (r["value"] is None, r["value"] is not None and r["first"]))]
+        for c, rows in out.items()
+        if len(rows) <= limit
+    }
+
+
 def learn_categories(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -102,7 +129,7 @@ def category_lists(
         return learn_categories(df, columns, null_column, drop_first)
     columns = text_columns(df) if columns is None else list(columns)
     if missing := [c for c in columns if c not in known]:
-        raise ValueError(f"no known categories for {', '.join(missing)}")
+        raise ValueError(f"no known categories for {', '.join(missing)}: none given, or too many to make a column of each")
     lists = {c: sorted(v for v in known[c] if v is not None)[int(drop_first) :] for c in columns}
     return {c: values + ([None] if null_column else []) for c, values in lists.items()}
 
@@ -236,28 +263,55 @@ def _encode_many(df: DataFrame, columns: Sequence[str], order: Column | None, mi
     return df.withColumns(coded) if coded else df
 
 
-def label_encode(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _known_codes(df: DataFrame, columns: Sequence[str], known: Known, missing: int | None, sort: bool) -> tuple[DataFrame, list[str]]:
+    """Code the columns whose values are known and few; returns those left to learn."""
+    exprs, rest = {}, []
+    for c in columns:
+        values = None if known is None or c not in known else [v for v in known[c] if v is not None]
+        if values is None or len(values) > MAX_INLINE_CODES:
+            rest.append(c)
+        else:
+            exprs[c] = Codes(c, missing, inline={v: i for i, v in enumerate(sorted(values) if sort else values)}).expr()
+    return df.withColumns(exprs) if exprs else df, rest
+
+
+def label_encode(df: DataFrame, columns: Sequence[str], known: Known = None) -> DataFrame:
     """Alphabetical integer codes for text columns.
 
     One pass learns them all; columns with too many values to hold on the
-    driver are coded by a distributed sort instead.
+    driver are coded by a distributed sort instead.  Columns in ``known`` are
+    coded by the values given there, without a pass.
     """
-    return _encode_many(df, columns, None, None)
+    df, rest = _known_codes(df, columns, known, None, sort=True)
+    return _encode_many(df, rest, None, None)
+
 
+def first_seen_encode(df: DataFrame, columns: Sequence[str], order: Column, known: Known = None) -> DataFrame:
+    """Codes by first appearance under a total row order; null is -1.  One pass for all columns.
 
-def first_seen_encode(df: DataFrame, columns: Sequence[str], order: Column) -> DataFrame:
-    """Codes by first appearance under a total row order; null is -1.  One pass for all columns."""
-    return _encode_many(df, columns, order, -1)
+    Columns in ``known`` are coded by the place of their values there.
+    """
+    df, rest = _known_codes(df, columns, known, -1, sort=False)
+    return _encode_many(df, rest, order, -1)
 
 
-def label_encode_binary(df: DataFrame) -> tuple[DataFrame, list[str]]:
+def label_encode_binary(df: DataFrame, known: Known = None) -> tuple[DataFrame, list[str]]:
     """Alphabetical codes for text columns with at most two distinct values.
 
     A null counts as a value; where one is among the two it is coded last.
+    With ``known`` values the columns are chosen and coded by these, without a pass.
     """
     columns = text_columns(df)
     if not columns:
         return df, []
+    if known is not None:
+        exprs = {}
+        for c in columns:
+            if c in known and len(set(known[c])) <= 2:
+                values = sorted({v for v in known[c] if v is not None})
+                missing = len(values) if None in known[c] else None
+                exprs[c] = Codes(c, missing, inline={v: n for n, v in enumerate(values)}).expr()
+        return df.withColumns(exprs) if exprs else df, list(exprs)
     ends = df.agg(
         *[f(col(c)).alias(f"{name}{i}") for i, c in enumerate(columns) for name, f in (("lo", F.min), ("hi", F.max))],
         *[F.count_if(col(c).isNull()).alias(f"null{i}") for i, c in enumerate(columns)],
@@ -298,11 +352,18 @@ def rare_labels(
     min_share: float = 0.05,
     min_categories: int = 4,
     label: str = "Rare",
+    known: Known = None,
 ) -> DataFrame:
     """Merge values seen in less than ``min_share`` of all rows.
 
     Columns with at most ``min_categories`` values are left alone, and so are nulls.
+    ``known`` holds the values after merging and saves the pass: a column that has
+    ``label`` there keeps its other known values, one without it is left alone.
     """
+    if known is not None:
+        merged = {c: [v for v in known[c] if v is not None] for c in columns if label in known.get(c, ())}
+        kept_known = {c: F.when(col(c).isNull() | col(c).isin(vs), col(c)).otherwise(F.lit(label)) for c, vs in merged.items()}
+        return df.withColumns(kept_known) if kept_known else df
     kept, values = _frequent(df, columns, lambda c, n, rows: n / rows >= min_share)
     exprs = {}
     for c in columns:

@@ -5,8 +5,6 @@ from tools.compare import compare, oracle
 
 SQL = entry_module.oracle_sql()
 QUERIES = entry_module.queries()
-# The widest tables take longest and are covered by their parts; tools/compare.py runs them all.
-WIDE = {"pipe_wide", "pipe_wide_nested", "pipe_wide_ratios", "pipe_wide_age", "pipe_wide_rare"}
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +12,7 @@ def db(sf_dir):
     return oracle(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(set(SQL) - WIDE))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_oracle(spark, sf_dir, db, name):
     assert compare(QUERIES[name](spark, sf_dir), db, SQL[name]) == []
 
