@@ -15,19 +15,19 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow, mixed, slices, table, texts, word_hashes
+from .common import arrow, mixed, slices, stored, table, texts, word_hashes
 
 MINIMUM = 4
 COVERAGE = 0.6
 #: Tokens of benchmark items that are broadcast at a time; the documents are read once per block.
 BLOCK_TOKENS = 1_000_000
-START_LENGTH = 20
 
-_BASE = 1_000_003
-_MODULUS = (1 << 61) - 1
+#: Odd, so that powers can be undone modulo 2^64.
+_BASE = 0x9E3779B97F4A7C15
 _BREAKS = "[\\x00-/:-@\\[-`{-\\x7f]+"
 
 
@@ -51,64 +51,88 @@ def seeds(hashes: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def _rolling(values: Sequence[int], length: int) -> list[int]:
-    """Karp-Rabin hashes of all runs."""
-    if len(values) < length:
-        return []
-    top, h, out = pow(_BASE, length - 1, _MODULUS), 0, []
-    for v in values[:length]:
-        h = (h * _BASE + v) % _MODULUS
-    out.append(h)
-    for old, new in zip(values, values[length:]):
-        h = ((h - old * top) * _BASE + new) % _MODULUS
-        out.append(h)
-    return out
+def _running(values: np.ndarray, powers: np.ndarray) -> np.ndarray:
+    """Sums of the values times rising powers, modulo 2^64; a run's Karp-Rabin hash is a difference of two."""
+    return np.append(np.uint64(0), np.cumsum(values * powers[: len(values)], dtype=np.uint64))
+
+
+def _windows(running: np.ndarray, powers: np.ndarray, used: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the runs of ``length`` tokens that no tile has taken from."""
+    n = len(running) - length
+    taken = np.append(0, np.cumsum(used))
+    at = np.flatnonzero(taken[length:] == taken[:n]) if n > 0 else np.zeros(0, np.int64)
+    # All runs are brought to one power, so that equal runs have equal hashes wherever they start.
+    return at, (running[at + length] - running[at]) * powers[len(powers) - 1 - at]
 
 
 def tile(item: Sequence[int], text: Sequence[int], minimum: int = MINIMUM) -> list[tuple[int, int, int]]:
-    """Tiles ``(place in item, place in text, length)`` of greedy string tiling."""
-    item, text = list(item), list(text)
-    free_item, free_text = [True] * len(item), [True] * len(text)
+    """Tiles ``(place in item, place in text, length)`` of greedy string tiling.
+
+    The longest common run of free tokens is marked, of several the first in the
+    item and then the first in the text, until none of ``minimum`` tokens is
+    left.  Its length is found by bisection over Karp-Rabin hashes, as a common
+    run holds common runs of all smaller lengths, and all tiles of a length are
+    marked in one sweep: at most the root of twice the item's tokens lengths
+    occur, each at a cost linear in both texts but for sorting the item's runs.
+    """
+    a, b = np.array(item, np.uint64), np.array(text, np.uint64)
+    powers = np.cumprod(np.append(np.uint64(1), np.full(max(len(a), len(b)), _BASE, np.uint64)), dtype=np.uint64)
+    sums_a, sums_b = _running(a, powers), _running(b, powers)
+    used_a, used_b = np.zeros(len(a), bool), np.zeros(len(b), bool)
     out: list[tuple[int, int, int]] = []
-    length = max(minimum, min(START_LENGTH, len(item)))
-
-    def free(flags: list[bool], at: int, n: int) -> bool:
-        return all(flags[at : at + n])
-
-    while True:
-        places: dict[int, list[int]] = {}
-        for j, h in enumerate(_rolling(text, length)):
-            if free(free_text, j, length):
-                places.setdefault(h, []).append(j)
-        matches, longest = [], 0
-        for i, h in enumerate(_rolling(item, length)):
-            if h not in places or not free(free_item, i, length):
+
+    def common(length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Places and hashes of free runs of the item, and of those of the text that the item has."""
+        at_a, hash_a = _windows(sums_a, powers, used_a, length)
+        at_b, hash_b = _windows(sums_b, powers, used_b, length)
+        shared = np.isin(hash_b, hash_a)
+        return at_a, hash_a, at_b[shared], hash_b[shared]
+
+    minimum = max(minimum, 1)
+    longest = min(len(a), len(b))
+    while longest >= minimum:
+        low, high, found = minimum - 1, longest, None
+        step = minimum
+        while low < high:  # a hash met by chance only makes the length too large
+            middle = min(step, high)
+            got = common(middle)
+            if len(got[2]):
+                low, found = middle, got
+                step = middle * 2 if high == longest else (low + high + 1) // 2
+            else:
+                high = middle - 1
+                step = (low + high + 1) // 2
+        if found is None:
+            break
+        at_a, hash_a, at_b, hash_b = found
+        order = np.argsort(hash_b, kind="stable")
+        keys, first = np.unique(hash_b[order], return_index=True)
+        places, last = at_b[order], np.append(first[1:], len(order))
+        where = np.minimum(np.searchsorted(keys, hash_a), len(keys) - 1)
+        nxt = first.copy()  # a place that was taken stays taken
+        for i, k in zip(at_a[keys[where] == hash_a].tolist(), where[keys[where] == hash_a].tolist()):
+            if used_a[i : i + low].any():
                 continue
-            for j in places[h]:
-                n = 0
-                while i + n < len(item) and j + n < len(text) and item[i + n] == text[j + n] and free_item[i + n] and free_text[j + n]:
-                    n += 1
-                if n >= length:
-                    matches.append((n, i, j))
-                    longest = max(longest, n)
-        if longest > 2 * length:
-            length = longest
-            continue
-        for n, i, j in sorted(matches, key=lambda m: (-m[0], m[1], m[2])):
-            if free(free_item, i, n) and free(free_text, j, n):
-                free_item[i : i + n] = [False] * n
-                free_text[j : j + n] = [False] * n
-                out.append((i, j, n))
-        if length <= minimum:
-            return sorted(out)
-        length = max(minimum, length // 2)
+            for p in range(nxt[k], last[k]):
+                j = int(places[p])
+                taken = bool(used_b[j : j + low].any())
+                if not taken and np.array_equal(a[i : i + low], b[j : j + low]):
+                    used_a[i : i + low] = used_b[j : j + low] = True
+                    out.append((i, j, low))
+                    nxt[k] = p + 1
+                    break
+                if taken and p == nxt[k]:
+                    nxt[k] = p + 1
+        longest = low - 1
+    return sorted(out)
 
 
 class Items:
     """A block of benchmark items with an index of their seeds."""
 
-    def __init__(self, ids: list[int], hashes: list[np.ndarray], minimum: int):
+    def __init__(self, ids: list[int | None], hashes: list[np.ndarray], minimum: int):
         self.ids, self.hashes, self.minimum = ids, hashes, minimum
+        self.sizes = np.array([len(h) for h in hashes])
         keys, owner, place = [], [], []
         for k, h in enumerate(hashes):
             s = seeds(h, min(minimum, len(h)))
@@ -122,8 +146,12 @@ class Items:
         self.last = np.append(self.first[1:], len(order))
         self.lengths = sorted({min(minimum, len(h)) for h in hashes})
 
-    def hits(self, hashes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """Row, item, and the places in item and document (in its tokens) of shared seeds, per pair that shares any."""
+    def hits(self, hashes: np.ndarray, counts: np.ndarray, coverage: float) -> Iterator[tuple[int, int, np.ndarray]]:
+        """Row, item, and the places in the document of shared seeds, per pair whose seeds could reach the coverage.
+
+        A row's seeds are counted once each however often they occur, so a row
+        meets at most the places of the block.
+        """
         starts = np.cumsum(counts) - counts
         rows = np.repeat(np.arange(len(counts)), counts)
         found = []
@@ -131,50 +159,87 @@ class Items:
             s = seeds(hashes, length)
             at = np.minimum(np.searchsorted(self.keys, s), len(self.keys) - 1)
             hit = np.flatnonzero((self.keys[at] == s) & (rows[: len(s)] == rows[length - 1 :]))
-            many = self.last[at[hit]] - self.first[at[hit]]
-            entry = np.repeat(self.first[at[hit]], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            found.append(np.stack([np.repeat(rows[hit], many), self.owner[entry], self.place[entry], np.repeat(hit - starts[rows[hit]], many)]))
-        row, item, i, j = np.concatenate(found, axis=1)
-        order = np.lexsort((j, i, item, row))
-        row, item, i, j = row[order], item[order], i[order], j[order]
-        cut = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]))) if len(row) else []
-        for a, b in zip(cut, np.append(cut[1:], len(row)) if len(row) else []):
-            yield int(row[a]), int(item[a]), i[a:b], j[a:b]
+            found.append(np.stack([rows[hit], at[hit], hit - starts[rows[hit]]]))
+        row, key, j = np.concatenate(found, axis=1)
+        order = np.argsort(row, kind="stable")
+        row, key, j = row[order], key[order], j[order]
+        cut = np.flatnonzero(np.append(True, row[1:] != row[:-1])) if len(row) else np.zeros(0, np.int64)
+        for lo, hi in zip(cut, np.append(cut[1:], len(row))):
+            mine = np.unique(key[lo:hi])
+            many = self.last[mine] - self.first[mine]
+            entry = np.repeat(self.first[mine] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            owner, place, of = self.owner[entry], self.place[entry], np.repeat(mine, many)
+            # A seed covers at most its own tokens, so few seeds rule an item out at once.
+            enough = np.bincount(owner, minlength=len(self.sizes)) * np.minimum(self.sizes, self.minimum) >= coverage * self.sizes
+            left = enough[owner]
+            owner, place, of = owner[left], place[left], of[left]
+            by = np.argsort(owner, kind="stable")
+            owner, place, of = owner[by], place[by], of[by]
+            edge = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
+            for x, y in zip(edge, np.append(edge[1:], len(owner))):
+                size = int(self.sizes[owner[x]])
+                seen = np.zeros(size, bool)
+                seen[place[x:y, None] + np.arange(min(self.minimum, size))] = True
+                if seen.sum() >= coverage * size:
+                    yield int(row[lo]), int(owner[x]), np.unique(j[lo:hi][np.isin(key[lo:hi], of[x:y])])
 
     def matches(self, hashes: np.ndarray, counts: np.ndarray, coverage: float) -> Iterator[tuple[int, int, list[tuple[int, int, int]]]]:
         """Row, item and tiles (places in document tokens) of the pairs that reach the coverage."""
         starts = np.cumsum(counts) - counts
-        for row, k, i, j in self.hits(hashes, counts):
+        for row, k, j in self.hits(hashes, counts, coverage):
             item = self.hashes[k]
             length = min(self.minimum, len(item))
-            seen = np.zeros(len(item), bool)
-            seen[np.unique(i)[:, None] + np.arange(length)] = True
-            if seen.sum() < coverage * len(item):
-                continue
             # Only tokens under shared seeds can lie in a tile; gaps between runs of them become one token of no item.
-            at = np.unique(np.unique(j)[:, None] + np.arange(length))
+            at = np.unique(j[:, None] + np.arange(length))
             gap = np.flatnonzero(np.diff(at) > 1) + 1
             text = np.insert(hashes[starts[row] + at], gap, np.uint64(0))
             back = np.insert(at, gap, -1)
-            tiles = tile(item.tolist(), text.tolist(), length)
+            tiles = tile(item, text, length)
             if sum(n for _, _, n in tiles) >= coverage * len(item):
                 yield row, k, [(a, int(back[b]), n) for a, b, n in tiles]
 
 
+_ITEMS = "id bigint, hashes binary, part int, before bigint, n bigint"
+
+
+def _coded(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Items with their token hashes and the tokens before them in their task; those without tokens are left out."""
+
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, before = TaskContext.get().partitionId(), 0
+        for b in slices(batches):
+            hashes, counts = tokens(b.column(1))
+            ends = np.cumsum(counts)
+            full = counts > 0
+            packed = [hashes[e - n : e].tobytes() for e, n in zip(ends[full], counts[full])]
+            columns = b.column(0).filter(pa.array(full)), packed, np.full(len(packed), part, np.int32), before + (ends - counts)[full], counts[full]
+            yield pa.RecordBatch.from_arrays(
+                [columns[0], pa.array(packed, pa.binary()), *[pa.array(c, k) for c, k in zip(columns[2:], (pa.int32(), pa.int64(), pa.int64()))]],
+                names=[f.split()[0] for f in _ITEMS.split(", ")],
+            )
+            before += len(hashes)
+
+    return stored(arrow(benchmark.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")), step, _ITEMS), "items")
+
+
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str, minimum: int) -> Iterator[Items]:
-    ids, hashes, size = [], [], 0
-    for r in benchmark.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).where("id IS NOT NULL AND text IS NOT NULL").toLocalIterator():
-        h, _ = tokens(pa.array([r["text"]]))
-        if not len(h):
-            continue
-        ids.append(r["id"])
-        hashes.append(h)
-        size += len(h)
-        if size >= BLOCK_TOKENS:
-            yield Items(ids, hashes, minimum)
-            ids, hashes, size = [], [], 0
-    if ids:
-        yield Items(ids, hashes, minimum)
+    """Blocks of about ``BLOCK_TOKENS`` tokens, at most one item more.
+
+    Tasks make the tokens; the driver gets one number per task and hands on a
+    block at a time.
+    """
+    coded = _coded(benchmark, id_col, text_col)
+    sizes = {r["part"]: r["n"] for r in coded.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    ends = np.cumsum([sizes[p] for p in sorted(sizes)], dtype=np.int64)
+    shift = {p: int(e) - sizes[p] for p, e in zip(sorted(sizes), ends)}
+    if not shift:
+        return
+    shifts = F.create_map(*[F.lit(x) for pair in shift.items() for x in pair])
+    numbered = coded.withColumn("block", F.floor((F.col("before") + F.try_element_at(shifts, F.col("part"))) / BLOCK_TOKENS))
+    for number in range(int(ends[-1]) // BLOCK_TOKENS + 1):
+        rows = numbered.where(F.col("block") == number).select("id", "hashes").collect()
+        if rows:
+            yield Items([r["id"] for r in rows], [np.frombuffer(r["hashes"], np.uint64) for r in rows], minimum)
 
 
 _PAIRS = "id bigint, item bigint, item_tokens bigint, covered bigint, coverage double, tiles array<struct<item_at: int, doc_at: int, length: int>>"
@@ -193,7 +258,8 @@ def contaminated(
     """``id, item, item_tokens, covered, coverage, tiles`` per document and item that it covers.
 
     An item shorter than ``minimum`` tokens must occur as a whole.  Null and
-    empty texts, items without tokens and items with a null id match nothing.
+    empty texts and items without tokens match nothing; an item with a null id
+    matches like any other, its ``item`` being null.
     Documents keep null and repeated ids, row by row; other columns are ignored.
     Documents are never shuffled; the benchmark is broadcast in bounded blocks,
     all of whose pairs are looked at.

@@ -1,4 +1,5 @@
 import random
+import time
 
 from ledgerloom.llm import decontaminate as D
 
@@ -22,22 +23,32 @@ def longest_first(item, text, minimum):
         out.append((i, j, n))
 
 
-def test_tiles_are_maximal_and_do_not_overlap():
+def test_tiles_equal_plain_longest_first_tiling():
     random.seed(6)
-    for _ in range(150):
-        item = [random.randrange(5) for _ in range(random.randint(0, 30))]
-        text = [random.randrange(5) for _ in range(random.randint(0, 60))]
+    for case in range(300):
+        letters = random.choice((1, 2, 5, 30))
+        item = [random.randrange(letters) for _ in range(random.randint(0, 30))]
+        text = [random.randrange(letters) for _ in range(random.randint(0, 60))]
         if item and text and random.random() < 0.7:
             k = random.randrange(len(item))
             text[3:3] = item[k:] + [7] + item[:k]
-        tiles = D.tile(item, text, 3)
-        used_a = [i + d for i, _, n in tiles for d in range(n)]
-        used_b = [j + d for _, j, n in tiles for d in range(n)]
-        assert len(set(used_a)) == len(used_a) and len(set(used_b)) == len(used_b)
-        assert all(n >= 3 and item[i : i + n] == text[j : j + n] for i, j, n in tiles)
-        best = longest_first(item, text, 3)
-        assert max((n for *_, n in tiles), default=0) == max((n for *_, n in best), default=0)
-        assert abs(sum(n for *_, n in tiles) - sum(n for *_, n in best)) <= 6
+        minimum = random.choice((1, 2, 3, 4))
+        assert D.tile(item, text, minimum) == longest_first(item, text, minimum), case
+
+
+def test_repeated_tokens_end_soon():
+    start = time.perf_counter()
+    assert D.tile([5] * 2_000, [5] * 200_000, 4) == [(0, 0, 2_000)]
+    random.seed(1)
+    item = [random.randrange(2) for _ in range(2_000)]
+    tiles = D.tile(item, [random.randrange(2) for _ in range(100_000)], 4)
+    assert sum(n for *_, n in tiles) > 1_900
+    assert time.perf_counter() - start < 20
+
+
+def test_a_very_long_text_of_one_word(spark):
+    got, *_ = found(spark, ["a " * 200_000, "b " * 50], [(1, "a " * 2_000), (2, "c d e f")])
+    assert got == {(0, 1): 1.0}
 
 
 ITEM = "the quick brown fox jumps over the lazy dog while seven wizards quietly brew potions"
@@ -89,8 +100,9 @@ def test_planted_items_of_the_test_tables(spark, sf_dir, documents):
 def test_edges(spark, edge_docs, no_docs):
     bench = spark.createDataFrame([(1, "this line of text is long enough"), (None, "one"), (2, None)], "item_id bigint, text string")
     got = {(r["id"], r["item"]) for r in D.contaminated(edge_docs, bench).collect()}
-    assert got == {(6, 1), (7, 1), (None, 1)}
+    # An item with a null id matches like any other.
+    assert got == {(6, 1), (7, 1), (None, 1), (4, None), (5, None), (6, None), (7, None), (None, None)}
     assert D.contaminated(no_docs, bench).count() == 0
     assert D.contaminated(edge_docs, bench.where("item_id > 5")).count() == 0
     kept = D.drop_contaminated(edge_docs, bench)
-    assert kept.columns == edge_docs.columns and kept.count() == edge_docs.count() - 4
+    assert kept.columns == edge_docs.columns and kept.count() == edge_docs.count() - 6
