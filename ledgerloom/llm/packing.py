@@ -14,7 +14,9 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator, Mapping, Sequence
 from functools import cache
+from itertools import accumulate
 import base64
+import json
 import re
 import zlib
 
@@ -29,39 +31,49 @@ from pyspark.sql import functions as F
 from .common import arrow, slices, stored, table, texts
 
 CAPACITY = 2048
-#: Fillings compared per bin, steps of their enumeration, and bins looked at by the whole search.
-FILLINGS, FILLING_STEPS, SEARCH_STEPS = 3, 400, 20_000
+#: Steps (pieces tried in bins, and bins) after which the search stands by the best packing so far.
+SEARCH_STEPS = 1_000_000
+#: Partial packings kept to be told again; more of them are searched anew.
+SEEN = 200_000
 
 Filling = tuple[tuple[int, int], ...]
 
 
-def fillings(counts: Mapping[int, int], sizes: Sequence[int], gap: int) -> list[Filling]:
-    """Undominated ways to fill ``gap`` from the counted sizes, least waste first.
+def fillings(counts: Mapping[int, int], sizes: Sequence[int], gap: int, spare: int, steps: Iterator[int]) -> Iterator[Filling]:
+    """Undominated ways to fill ``gap`` from the counted sizes that waste at most ``spare``, largest pieces first.
 
-    ``sizes`` are those with a count, rising.  No filling leaves room for a piece
-    that is still there, nor could one of its pieces give way to a larger one
-    without overflow, as each step tries the largest that fits first.
+    ``sizes`` are those with a count, rising.  A filling is dominated, and left
+    out, if a piece that is still there fits beside it, or fits in place of a
+    smaller one of its pieces: the piece taken out fits wherever the other was.
+    Each step takes one from ``steps``; the ways end with them.
     """
-    found: list[tuple[int, Filling]] = []
-    steps = 0
-
-    def extend(room: int, below: int, chosen: list[tuple[int, int]]) -> None:
-        nonlocal steps
-        at = bisect_right(sizes, min(room, below)) - 1
-        if at < 0:
-            found.append((room, tuple(chosen)))
-            return
-        while at >= 0 and steps < FILLING_STEPS and not (len(found) >= FILLINGS and found[-1][0] == 0):
-            steps += 1
-            size = sizes[at]
-            n = min(counts[size], room // size)
-            extend(room - n * size, size - 1, [*chosen, (size, n)])
-            at -= 1
-
-    extend(gap, gap, [])
-    if not found:
-        found.append((gap, ()))
-    return [f for _, f in sorted(found, key=lambda x: x[0])[:FILLINGS]]
+    held = list(accumulate((s * counts[s] for s in sizes), initial=0))
+
+    def undominated(chosen: Sequence[tuple[int, int]], room: int) -> bool:
+        left = dict(chosen)
+        # The smallest piece still there must not fit beside, nor the next larger one in place of each piece.
+        for small in (0, *left):
+            for k in range(bisect_right(sizes, small), len(sizes)):
+                if sizes[k] - small > room:
+                    break
+                if counts[sizes[k]] > left.get(sizes[k], 0):
+                    return False
+        return True
+
+    # Depth first without recursion: (sizes below this place, room, pieces chosen).
+    frames: list[tuple[int, int, tuple[tuple[int, int], ...]]] = [(len(sizes), gap, ())]
+    while frames and next(steps, None) is not None:
+        below, room, chosen = frames.pop()
+        at = min(below, bisect_right(sizes, room))
+        if at == 0:
+            if room <= spare and undominated(chosen, room):
+                yield chosen
+            continue
+        if room - held[at] > spare:
+            continue  # all that is left cannot fill enough
+        size = sizes[at - 1]
+        for n in range(min(counts[size], room // size) + 1):  # the most pieces are looked at first
+            frames.append((at - 1, room - n * size, (*chosen, (size, n)) if n else chosen))
 
 
 def best_fit(counts: Mapping[int, int], capacity: int) -> list[tuple[Filling, int]]:
@@ -88,41 +100,58 @@ def best_fit(counts: Mapping[int, int], capacity: int) -> list[tuple[Filling, in
     return [(filling, times) for held in bins.values() for filling, times in held.items()]
 
 
-def pack_counts(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tuple[Filling, int]]:
-    """Fillings and how often each is used; every counted piece is placed, in as few bins as the search finds."""
+def least_bins(counts: Mapping[int, int], capacity: int) -> int:
+    """A number of bins that no packing undercuts: for each small size, what pieces that it cannot join must waste."""
+    if not counts:
+        return 0
+    sizes = np.array(sorted(s for s, n in counts.items() if n > 0), np.int64)
+    many = np.array([counts[s] for s in sizes.tolist()], np.int64)
+    pieces, tokens = np.append(0, np.cumsum(many)), np.append(0, np.cumsum(many * sizes))
+    half = int(np.searchsorted(sizes, capacity // 2, "right"))  # sizes from here on share no bin with each other
+    small = np.append(0, sizes[:half])
+    over = np.maximum(np.searchsorted(sizes, capacity - small, "right"), half)  # from here on, no small piece fits beside
+    shared = pieces[over] - pieces[half]
+    room = capacity * shared - (tokens[over] - tokens[half])
+    rest = tokens[half] - tokens[np.minimum(np.searchsorted(sizes, small), half)]
+    bins = pieces[-1] - pieces[over] + shared + np.maximum(0, -((room - rest) // capacity))
+    return max(int(bins.max()), -(-int(tokens[-1]) // capacity))
+
+
+def pack_counts(counts: Mapping[int, int], capacity: int = CAPACITY, search_steps: int = SEARCH_STEPS) -> list[tuple[Filling, int]]:
+    """Fillings and how often each is used; every counted piece is placed, in the fewest bins.
+
+    The search ends when the bound is met or all is proven; after
+    ``search_steps`` it ends before, with the best packing so far.
+    """
     left = {s: n for s, n in counts.items() if n > 0}
     total = sum(s * n for s, n in left.items())
-    fewest = -(-total // capacity)
+    fewest = least_bins(left, capacity)
     best = best_fit(left, capacity)
-    best_bins, steps = sum(times for _, times in best), 0
+    best_bins = sum(times for _, times in best)
     if best_bins == fewest:
         return best
+    steps = iter(range(search_steps))
+    seen: dict[tuple, int] = {}
 
-    def choices(state: dict[int, int]) -> list[tuple[Filling, int, int]]:
-        sizes = sorted(state)
-        largest = sizes[-1]
-        rest = dict(state)
-        rest[largest] -= 1
+    def choices(state: dict[int, int], waste: int) -> Iterator[tuple[Filling, int, int]]:
+        """Bins around the largest piece, as many at once as the counts allow, then fewer."""
+        largest = max(state)
+        rest = {**state, largest: state[largest] - 1}
         if not rest[largest]:
             del rest[largest]
-        out = []
-        for filling in fillings(rest, sorted(rest), capacity - largest):
+        for filling in fillings(rest, sorted(rest), capacity - largest, (best_bins - 1) * capacity - total - waste, steps):
             whole: dict[int, int] = {largest: 1}
             for s, n in filling:
                 whole[s] = whole.get(s, 0) + n
-            times = min(state[s] // n for s, n in whole.items())
-            waste = capacity - sum(s * n for s, n in whole.items())
-            out.append((tuple(sorted(whole.items(), reverse=True)), times, waste))
-        return out
+            wasted = capacity - sum(s * n for s, n in whole.items())
+            for times in range(min(state[s] // n for s, n in whole.items()), 0, -1):
+                yield tuple(sorted(whole.items(), reverse=True)), times, wasted
 
     # Depth first without recursion: a frame is (state, bins, waste, chosen so far, open choices).
-    frames = [(left, 0, 0, None, iter(choices(left)))] if left else []
-    while frames:
+    frames = [(left, 0, 0, None, choices(left, 0))]
+    while frames and next(steps, None) is not None:
         state, bins, waste, path, rest = frames[-1]
         step = next(rest, None)
-        steps += 1
-        if steps > SEARCH_STEPS:
-            break
         if step is None:
             frames.pop()
             continue
@@ -137,7 +166,13 @@ def pack_counts(counts: Mapping[int, int], capacity: int = CAPACITY) -> list[tup
                 del after[s]
         new_path = (path, filling, times)
         if after:
-            frames.append((after, new_bins, new_waste, new_path, iter(choices(after))))
+            # What is left was met before in no more bins, or needs too many.
+            key = tuple(sorted(after.items()))
+            if seen.get(key, best_bins) <= new_bins or new_bins + least_bins(after, capacity) >= best_bins:
+                continue
+            if len(seen) < SEEN:
+                seen[key] = new_bins
+            frames.append((after, new_bins, new_waste, new_path, choices(after, new_waste)))
         elif new_bins < best_bins:
             best, best_bins = [], new_bins
             while new_path:
@@ -163,20 +198,32 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 #: White space beside a space: there, cutting at the space would change the tokens.
-_UNSAFE = re.compile(r"\s | \s")
+_UNSAFE = r"\s | \s"
 
 
 class Tokens:
     """Token ids of texts.  A space between two other characters always starts a token, so texts are cut
-    there and each distinct cut is encoded once; texts with other white space beside a space go whole."""
-
-    def __init__(self, ranks_file: str, pattern: str):
-        self.encode = encoder(ranks_file, pattern).encode_ordinary
+    there and each distinct cut is encoded once; texts with other white space beside a space,
+    or with a string in ``added``, go whole.  Added tokens are found before all others."""
+
+    def __init__(self, ranks_file: str, pattern: str, added: Mapping[str, int] = {}):
+        self.ordinary = encoder(ranks_file, pattern).encode_ordinary
+        self.added = dict(added)
+        # Of added tokens that start at one place the longest counts.
+        names = "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True))
+        self.split = re.compile(f"({names})") if names else None
+        self.unsafe = re.compile("|".join(filter(None, (_UNSAFE, names))))
         self.known: dict[str, list[int]] = {}
 
+    def encode(self, text: str) -> list[int]:
+        if self.split is None:
+            return self.ordinary(text)
+        parts = self.split.split(text)
+        return [x for k, part in enumerate(parts) for x in ([self.added[part]] if k % 2 else self.ordinary(part))]
+
     def __call__(self, column: pa.Array) -> list[np.ndarray]:
         column = texts(column)
-        whole = [bool(_UNSAFE.search(t)) for t in column.to_pylist()]
+        whole = [bool(self.unsafe.search(t)) for t in column.to_pylist()]
         parts = pc.split_pattern(pc.if_else(pa.array(whole), "", column), " ")
         coded = pc.dictionary_encode(parts.flatten())
         index, counts = coded.indices.to_numpy(), np.diff(parts.offsets.to_numpy())
@@ -211,11 +258,11 @@ class Tokens:
 _PIECES = "id bigint, piece int, start bigint, length bigint, crc bigint, part int, nth bigint"
 
 
-def pieces(docs: DataFrame, ranks_file: str, pattern: str, end_id: int, capacity: int) -> DataFrame:
+def pieces(docs: DataFrame, ranks_file: str, pattern: str, end_id: int, capacity: int, added: Mapping[str, int] = {}) -> DataFrame:
     """Pieces of every document, each with its task (``part``) and its rank among the task's pieces of that length."""
 
     def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = Tokens(ranks_file, pattern), TaskContext.get().partitionId()
+        encode, part = Tokens(ranks_file, pattern, added), TaskContext.get().partitionId()
         met = np.zeros(capacity + 1, np.int64)
         for b in slices(batches):
             rows: list[tuple] = []
@@ -241,21 +288,27 @@ def pack(
     ranks_file: str | None = None,
     pattern: str | None = None,
     end_id: int = 0,
+    added: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """``id, piece, start, length, crc, sequence_id, offset`` per piece.
 
     A document is its token ids and ``end_id``; a null text is empty.  Documents
     of over ``capacity`` tokens are cut into full pieces after a first one that
     may be shorter.  Null and repeated ids and copies are packed row by row;
-    other columns are ignored; an empty table gives no sequence.
+    other columns are ignored; an empty table gives no sequence.  A string in
+    ``added`` is one token wherever a text spells it out; with the default
+    vocabulary these are the added tokens of its tokenizer file.
     """
     if ranks_file is None or pattern is None:
         import public_tokenizers
 
+        if ranks_file is None and added is None:
+            with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+                added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
         ranks_file = ranks_file or public_tokenizers.path("byte_bpe_50k.tiktoken")
         pattern = pattern or public_tokenizers.PATTERN
     chosen = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    cut = stored(pieces(chosen, ranks_file, pattern, end_id, capacity), "pieces")
+    cut = stored(pieces(chosen, ranks_file, pattern, end_id, capacity, added or {}), "pieces")
     per_task = stored(cut.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     counts = {r["length"]: r["n"] for r in per_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
 

@@ -1,6 +1,7 @@
 import random
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
+from itertools import count, product
 
 import numpy as np
 import public_tokenizers
@@ -50,6 +51,75 @@ def test_branching_beats_best_fit_where_that_fails():
     assert sum(t for _, t in packing.pack_counts({7: 1, 5: 1, 4: 1, 3: 1, 1: 1}, 10)) == 2
 
 
+def fewest_bins(pieces, capacity):
+    """The least number of bins, by trying every bin for every piece."""
+    pieces, best = sorted(pieces, reverse=True), [len(pieces)]
+
+    def place(at, rooms):
+        if len(rooms) >= best[0]:
+            return
+        if at == len(pieces):
+            best[0] = len(rooms)
+            return
+        for room in {r for r in rooms if r >= pieces[at]}:
+            k = rooms.index(room)
+            rooms[k] -= pieces[at]
+            place(at + 1, rooms)
+            rooms[k] += pieces[at]
+        place(at + 1, [*rooms, capacity - pieces[at]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_packings_are_the_fewest_bins():
+    random.seed(8)
+    cases = [([10, 11, 12, 15, 15, 15, 17, 19, 20, 21, 21, 23], 50)]
+    for _ in range(1_500):
+        capacity = random.choice((20, 50, 100))
+        cases.append(([random.randint(max(1, capacity // 7), capacity // 2 + 5) for _ in range(random.randint(1, 10))], capacity))
+    for pieces, capacity in cases:
+        counts = Counter(pieces)
+        least = fewest_bins(pieces, capacity)
+        assert sum(t for _, t in packing.pack_counts(counts, capacity)) == least, (pieces, capacity)
+        assert packing.least_bins(counts, capacity) <= least
+
+
+def test_fillings_are_all_undominated_ones():
+    random.seed(9)
+    for _ in range(200):
+        counts = {random.randint(1, 20): random.randint(1, 3) for _ in range(random.randint(1, 5))}
+        sizes, gap = sorted(counts), random.randint(0, 40)
+        ways = [w for w in product(*[range(counts[s] + 1) for s in sizes]) if sum(n * s for n, s in zip(w, sizes)) <= gap]
+
+        def dominated(way):
+            room = gap - sum(n * s for n, s in zip(way, sizes))
+            there = [s for s, n in zip(sizes, way) if n < counts[s]]
+            held = [0, *[s for s, n in zip(sizes, way) if n]]
+            return any(0 < s - h <= room for s in there for h in held)
+
+        want = {tuple((s, n) for s, n in reversed([*zip(sizes, w)]) if n) for w in ways if not dominated(w)}
+        got = list(packing.fillings(counts, sizes, gap, gap, count()))
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_added_tokens_are_single_ids():
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    added = {t.content: i for i, t in reference.get_added_tokens_decoder().items()}
+    encode = packing.Tokens(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, added)
+    cases = [f"{a}{t}{b}" for t in added for a in ("", "foo", "foo ", t, "  ", "\n") for b in ("", "bar", " bar", t, "  x", "|>")]
+    for got, text in zip(encode(pa.array([*cases, "plain text", None])), [*cases, "plain text", ""], strict=True):
+        assert got.tolist() == reference.encode(text, add_special_tokens=False).ids, text
+
+
+def test_documents_that_spell_out_an_added_token(spark):
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "foo <|endoftext|> bar"
+    row = packing.pack(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    ids = np.array([*reference.encode(text, add_special_tokens=False).ids, 0], "<u4")
+    assert (row["length"], row["crc"]) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_ids_equal_the_tokenizer():
     reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     reference.encode_special_tokens = True
