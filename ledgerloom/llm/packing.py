@@ -198,7 +198,7 @@ def _ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 #: White space beside a space: there, cutting at the space would change the tokens.
-_UNSAFE = r"\s | \s"
+_UNSAFE = re.compile(r"\s | \s")
 
 
 class Tokens:
@@ -212,7 +212,6 @@ class Tokens:
         # Of added tokens that start at one place the longest counts.
         names = "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True))
         self.split = re.compile(f"({names})") if names else None
-        self.unsafe = re.compile("|".join(filter(None, (_UNSAFE, names))))
         self.known: dict[str, list[int]] = {}
 
     def encode(self, text: str) -> list[int]:
@@ -223,7 +222,9 @@ class Tokens:
 
     def __call__(self, column: pa.Array) -> list[np.ndarray]:
         column = texts(column)
-        whole = [bool(self.unsafe.search(t)) for t in column.to_pylist()]
+        whole = np.array([bool(_UNSAFE.search(t)) for t in column.to_pylist()], bool)
+        for token in self.added:
+            whole |= pc.match_substring(column, token).to_numpy(zero_copy_only=False)
         parts = pc.split_pattern(pc.if_else(pa.array(whole), "", column), " ")
         coded = pc.dictionary_encode(parts.flatten())
         index, counts = coded.indices.to_numpy(), np.diff(parts.offsets.to_numpy())
@@ -236,7 +237,7 @@ class Tokens:
             cut = " " + names[i]
             got = self.known.get(cut)
             if got is None:
-                got = self.known[cut] = self.encode(cut)
+                got = self.known[cut] = self.ordinary(cut)
             ids[i] = got
         if len(self.known) > 200_000:
             self.known.clear()
@@ -249,7 +250,7 @@ class Tokens:
                 out.append(np.array(self.encode(column[row].as_py()), "<u4"))
             else:
                 rest = index[at + 1 : at + n]
-                head = np.array(self.encode(names[index[at]]), "<u4")
+                head = np.array(self.ordinary(names[index[at]]), "<u4")
                 out.append(np.concatenate([head, flat[_ragged(starts[rest], sizes[rest])]]).astype("<u4"))
             at += n
         return out
