@@ -67,6 +67,34 @@ def test_values_are_learned_in_code_order(people):
     assert learn_values(people, []) == {} and learn_values(people.limit(0), ["two"]) == {"two": []}
 
 
+def test_values_are_learned_without_sorting_the_rows(spark, sf_dir, monkeypatch):
+    from ledgerloom.operators import encode
+    from ledgerloom.plans import applicants
+
+    t = CreditTables(spark, sf_dir)
+    df = applicants.known_gender(t["application_train"], t["application_test"])
+    plans_seen = []
+    settle = encode.checkpoint
+    monkeypatch.setattr(type(df), "collect", lambda self, c=type(df).collect: plans_seen.append(self._jdf.queryExecution().sparkPlan().toString()) or c(self))
+    monkeypatch.setattr(encode, "checkpoint", lambda frame: plans_seen.append(frame._jdf.queryExecution().sparkPlan().toString()) or settle(frame))
+    columns = O.text_columns(df)[:3]
+    for order in (None, applicants._appearance()):
+        learn_values(df, columns, order)
+    O.label_encode(df, columns)
+    O.first_seen_encode(df, columns, applicants._appearance())
+    encode.label_codes(df, columns[0])
+    assert len(plans_seen) >= 5 and not [p for p in plans_seen if "SortAggregate" in p]
+
+
+def test_appearance_orders_like_label_and_id(spark):
+    from ledgerloom.plans import applicants
+
+    rows = [(None, 1), (2**63 - 1, 1), (-(2**63), 1), (5, None), (None, None), (-(2**63), None), (5, 0), (-7, 1)]
+    df = spark.createDataFrame(rows, "SK_ID_CURR long, TARGET int")
+    want = df.orderBy(F.col("TARGET").isNull(), F.col("SK_ID_CURR")).collect()
+    assert [tuple(r) for r in df.orderBy(applicants._appearance()).collect()] == [tuple(r) for r in want]
+
+
 def test_known_values_give_the_codes_that_learning_gives(people):
     columns = ["two", "three", "half"]
     order = F.col("i")
