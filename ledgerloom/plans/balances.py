@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clip_zero, flag, overwrite, regroup, safe_div
-from ..operators.aggregate import Shares, summarize
+from ..operators.aggregate import Shares, Spec, summarize
 from ..operators.encode import Known, category_lists
 from . import fixed
 
@@ -37,6 +37,13 @@ def pos_per_loan(months: DataFrame) -> DataFrame:
     return out.withColumn("POS_NEW_IS_CREDIT_NOT_COMPLETED_ON_TIME", flag(late))
 
 
+def _per_applicant(loans: DataFrame, spec: Spec, prefix: str, rows: DataFrame) -> DataFrame:
+    """The second level; an applicant has no more loans than ``rows``."""
+    counted = rows.select(F.col("SK_ID_CURR").alias("SK_ID_CURR_MAX"))
+    out = summarize(loans, ["SK_ID_CURR_MAX"], spec, prefix, deal=True, counted=counted)
+    return out.withColumnRenamed("SK_ID_CURR_MAX", "SK_ID_CURR")
+
+
 def pos_two_level(months: DataFrame) -> DataFrame:
     """Per loan, then per applicant."""
     df = months.withColumns(
@@ -48,9 +55,7 @@ def pos_two_level(months: DataFrame) -> DataFrame:
     statuses = Shares({"NAME_CONTRACT_STATUS": fixed.POS_LEVEL_ONE_STATUSES}, ["sum"])
     loans = summarize(df, ["SK_ID_PREV"], fixed.POS_LEVEL_ONE, shares=statuses)
     loans = loans.withColumn("NEW_PAID_MONTH", F.col("CNT_INSTALMENT_MAX") - F.col("CNT_INSTALMENT_FUTURE_MIN"))
-    return summarize(loans, ["SK_ID_CURR_MAX"], fixed.POS_LEVEL_TWO, "POS_").withColumnRenamed(
-        "SK_ID_CURR_MAX", "SK_ID_CURR"
-    )
+    return _per_applicant(loans, fixed.POS_LEVEL_TWO, "POS_", months)
 
 
 def instalment_base(instalments: DataFrame, on_zero: str = "null") -> DataFrame:
@@ -100,9 +105,7 @@ def instalments_two_level(instalments: DataFrame) -> DataFrame:
             "NEW_AMT_INSTALMENT_DIFF": F.col("AMT_INSTALMENT_MAX") - F.col("AMT_INSTALMENT_MIN"),
         }
     )
-    return summarize(loans, ["SK_ID_CURR_MAX"], fixed.INSTALMENT_LEVEL_TWO, "INSTAL_").withColumnRenamed(
-        "SK_ID_CURR_MAX", "SK_ID_CURR"
-    )
+    return _per_applicant(loans, fixed.INSTALMENT_LEVEL_TWO, "INSTAL_", instalments)
 
 
 def instalment_status(instalments: DataFrame, on_zero: str = "null") -> DataFrame:

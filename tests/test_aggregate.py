@@ -113,3 +113,29 @@ def test_counting_helpers(spark):
 
 def test_every_column_takes_numeric_columns_only(groups):
     assert O.every_column(groups, ["k"], ["min"]) == {"v": ["min"]}
+
+
+@pytest.mark.parametrize("hot_rows", [5_000_000, 3])
+def test_dealt_rows_give_the_same_aggregates_and_hot_keys_are_combined(spark, hot_rows):
+    df = spark.range(60).selectExpr("CASE WHEN id < 40 THEN 1 WHEN id < 58 THEN id % 5 + 2 END AS k", "id % 7 AS v", "id % 3 = 0 AS f", "string(id % 2) AS c")
+    spec = {"v": ["min", "mean", "sum", "nunique"], "f": ["sum"]}
+    args = (["k"], spec, "P_", O.Shares({"c": ["0", None]}), [O.Subset("S_", F.col("v") > 3, {"v": ["max", "count"]})])
+    plain, dealt = O.summarize(df, *args), O.summarize(df, *args, deal=True, hot_rows=hot_rows)
+    assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, plain.collect()))
+    aggregates = O.summarize(df, ["k"], {"v": ["min", "mean"]}, deal=True, hot_rows=hot_rows, counted=df.select("k"))
+    moves = aggregates._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert moves == (1 if hot_rows > 60 else 2)
+
+
+@pytest.mark.parametrize("name", ["pos_two_level", "instalments_two_level"])
+def test_wide_recipes_move_rows_not_buffers(spark, sf_dir, name):
+    from ledgerloom import plans
+    from ledgerloom.catalog.standins import CreditTables
+
+    t = CreditTables(spark, sf_dir)
+    table = {"pos": "POS_CASH_balance", "ins": "installments_payments", "pre": "previous_application"}[name[:3]]
+    plan = getattr(plans, name)(t[table])._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+    # The last aggregate follows its own partial form without an exchange between them.
+    lines = [line for line in plan.splitlines() if "HashAggregate" in line or "Exchange" in line]
+    assert all("HashAggregate" in line for line in lines[:2])
