@@ -193,9 +193,13 @@ def line_keys(occurrences: DataFrame, edits: int) -> DataFrame:
     counts = [F.least(F.col("length") - F.length(F.replace("line", F.lit(c), F.lit(""))), F.lit(most)).cast("bigint") for c in SKETCH]
     sketch = reduce(Column.bitwiseOR, [F.call_function("shiftleft", n, F.lit(k * COUNT_BITS)) for k, n in enumerate(counts)])
     own, others = _keys(F.col("line"), F.col("length"), edits)
-    keys = [F.struct(key.alias("key"), F.lit(i >= len(own)).alias("probe")) for i, key in enumerate([*own, *others])]
-    rows = occurrences.select("h", sketch.alias("sketch"), F.array(*keys).alias("keys"))
-    return stored(rows.select("h", "sketch", F.inline("keys")).distinct(), "line-keys")
+    named = {f"key{i}": key for i, key in enumerate([*own, *others])}
+    # Copies meet as one row per line; only then is a row made per key.
+    lines = occurrences.select("h", sketch.alias("sketch"), *[key.alias(name) for name, key in named.items()]).distinct()
+    keys = F.array(*[F.struct(F.col(name).alias("key"), F.lit(i >= len(own)).alias("probe")) for i, name in enumerate(named)])
+    if edits > 1:  # a segment is looked for at several places, whose texts may be equal
+        keys = F.array_distinct(keys)
+    return stored(lines.select("h", "sketch", F.inline(keys)), "line-keys")
 
 
 def _letters_apart(a: str, b: str) -> Column:

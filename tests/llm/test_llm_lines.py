@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import lines
@@ -145,3 +146,17 @@ def test_edges(edge_docs, no_docs):
     assert {r["__removed"] for r in by[None]} == {0}
     assert by[8][0]["__removed"] == 0 and by[9][0]["__removed"] == 1
     assert lines.drop_lines(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("edits", [0, 1, 2])
+def test_keys_are_a_row_per_line_and_key_and_move_as_lines(spark, edits, monkeypatch):
+    sample = ["a" * 40, "a" * 40, "abcdefgh" * 6, "the quick brown fox jumps over the lazy dog again"]
+    rows = spark.createDataFrame([(t,) for t in sample], "line string").select(F.xxhash64("line").alias("h"), "line", F.length("line").alias("length"))
+    seen = []
+    monkeypatch.setattr(lines, "stored", lambda df, label: seen.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    got = [tuple(r) for r in lines.line_keys(rows, edits).select("h", "key", "probe").collect()]
+    own, others = lines._keys(F.col("line"), F.col("length"), edits)
+    parts = [rows.select("h", F.explode(F.array(*keys)).alias("key"), F.lit(probe).alias("probe")) for keys, probe in ((own, False), (others, True)) if keys]
+    want = {tuple(r) for part in parts for r in part.collect()}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert seen[0].index("Generate") < seen[0].index("Exchange")
