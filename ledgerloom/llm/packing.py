@@ -5,15 +5,19 @@ lengths than the capacity, so the search runs on that histogram, whatever the
 corpus.  A bin is built around the largest piece left; its undominated fillings
 are enumerated, largest pieces first, and a branch is cut when the waste so far
 shows that it cannot beat the best packing known, at first that of best fit.  A filling is used as
-often as the counts allow at once.  Documents then find their place from their
+often as the counts allow at once.  The search changes one histogram in place and
+takes its changes back, and remembers digests of states, so that its memory does
+not grow with the number of lengths times the depth.  Documents then find their place from their
 rank among the pieces of their length.
 """
 
 from __future__ import annotations
 
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator, Mapping, Sequence
 from functools import cache
+from hashlib import blake2b
 from itertools import accumulate
 import base64
 import json
@@ -33,7 +37,7 @@ from .common import arrow, slices, stored, table, texts
 CAPACITY = 2048
 #: Steps (pieces tried in bins, and bins) after which the search stands by the best packing so far.
 SEARCH_STEPS = 1_000_000
-#: Partial packings kept to be told again; more of them are searched anew.
+#: Partial packings kept, as digests of 16 bytes, to be told again; more of them are searched anew.
 SEEN = 200_000
 
 Filling = tuple[tuple[int, int], ...]
@@ -45,9 +49,10 @@ def fillings(counts: Mapping[int, int], sizes: Sequence[int], gap: int, spare: i
     ``sizes`` are those with a count, rising.  A filling is dominated, and left
     out, if a piece that is still there fits beside it, or fits in place of a
     smaller one of its pieces: the piece taken out fits wherever the other was.
-    Each step takes one from ``steps``; the ways end with them.
+    Each step takes one from ``steps``; the ways end with them.  ``counts`` may
+    change between two ways if it is back before the next is asked for.
     """
-    held = list(accumulate((s * counts[s] for s in sizes), initial=0))
+    held = array("q", accumulate((s * counts[s] for s in sizes), initial=0))
 
     def undominated(chosen: Sequence[tuple[int, int]], room: int) -> bool:
         left = dict(chosen)
@@ -123,7 +128,7 @@ def pack_counts(counts: Mapping[int, int], capacity: int = CAPACITY, search_step
     The search ends when the bound is met or all is proven; after
     ``search_steps`` it ends before, with the best packing so far.
     """
-    left = {s: n for s, n in counts.items() if n > 0}
+    left = {s: n for s, n in sorted(counts.items()) if n > 0}
     total = sum(s * n for s, n in left.items())
     fewest = least_bins(left, capacity)
     best = best_fit(left, capacity)
@@ -131,49 +136,58 @@ def pack_counts(counts: Mapping[int, int], capacity: int = CAPACITY, search_step
     if best_bins == fewest:
         return best
     steps = iter(range(search_steps))
-    seen: dict[tuple, int] = {}
+    seen: dict[bytes, int] = {}
 
-    def choices(state: dict[int, int], waste: int) -> Iterator[tuple[Filling, int, int]]:
+    def take(filling: Filling, times: int) -> None:
+        for s, n in filling:
+            left[s] -= n * times
+
+    def choices(waste: int) -> Iterator[tuple[Filling, int, int]]:
         """Bins around the largest piece, as many at once as the counts allow, then fewer."""
-        largest = max(state)
-        rest = {**state, largest: state[largest] - 1}
-        if not rest[largest]:
-            del rest[largest]
-        for filling in fillings(rest, sorted(rest), capacity - largest, (best_bins - 1) * capacity - total - waste, steps):
+        largest = max(s for s, n in left.items() if n)
+        one = ((largest, 1),)
+        take(one, 1)
+        ways = fillings(left, array("q", (s for s, n in left.items() if n)), capacity - largest, (best_bins - 1) * capacity - total - waste, steps)
+        while (filling := next(ways, None)) is not None:
+            take(one, -1)
             whole: dict[int, int] = {largest: 1}
             for s, n in filling:
                 whole[s] = whole.get(s, 0) + n
             wasted = capacity - sum(s * n for s, n in whole.items())
-            for times in range(min(state[s] // n for s, n in whole.items()), 0, -1):
+            for times in range(min(left[s] // n for s, n in whole.items()), 0, -1):
                 yield tuple(sorted(whole.items(), reverse=True)), times, wasted
+            take(one, 1)
+        take(one, -1)
 
-    # Depth first without recursion: a frame is (state, bins, waste, chosen so far, open choices).
-    frames = [(left, 0, 0, None, choices(left, 0))]
+    # Depth first without recursion: a frame is (bins, waste, chosen so far, open choices).  ``left`` is what the
+    # last frame leaves; the choice that led to a frame is put back when it ends.
+    frames = [(0, 0, None, choices(0))]
     while frames and next(steps, None) is not None:
-        state, bins, waste, path, rest = frames[-1]
+        bins, waste, path, rest = frames[-1]
         step = next(rest, None)
         if step is None:
             frames.pop()
+            if path:
+                take(path[1], -path[2])
             continue
         filling, times, wasted = step
         new_bins, new_waste = bins + times, waste + times * wasted
         if new_waste > (best_bins - 1) * capacity - total:
             continue  # more waste than one bin fewer would have
-        after = dict(state)
-        for s, n in filling:
-            after[s] -= n * times
-            if not after[s]:
-                del after[s]
+        take(filling, times)
         new_path = (path, filling, times)
-        if after:
+        if new_bins * capacity - new_waste < total:
             # What is left was met before in no more bins, or needs too many.
-            key = tuple(sorted(after.items()))
-            if seen.get(key, best_bins) <= new_bins or new_bins + least_bins(after, capacity) >= best_bins:
+            key = blake2b(np.fromiter(left.values(), np.int64, len(left)).tobytes(), digest_size=16).digest()
+            if seen.get(key, best_bins) <= new_bins or new_bins + least_bins(left, capacity) >= best_bins:
+                take(filling, -times)
                 continue
             if len(seen) < SEEN:
                 seen[key] = new_bins
-            frames.append((after, new_bins, new_waste, new_path, choices(after, new_waste)))
-        elif new_bins < best_bins:
+            frames.append((new_bins, new_waste, new_path, choices(new_waste)))
+            continue
+        take(filling, -times)
+        if new_bins < best_bins:
             best, best_bins = [], new_bins
             while new_path:
                 best.append((new_path[1], new_path[2]))

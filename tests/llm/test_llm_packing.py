@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from itertools import count, product
@@ -85,6 +86,20 @@ def test_packings_are_the_fewest_bins():
         assert packing.least_bins(counts, capacity) <= least
 
 
+def test_search_over_many_lengths_keeps_little():
+    rng = np.random.default_rng(3)
+    counts = {int(s): int(n) for s, n in zip(range(300, 1500), rng.integers(1, 6, 1200))}
+    tracemalloc.start()
+    packed = packing.pack_counts(counts, 2048, 20_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    placed = Counter()
+    for filling, times in packed:
+        for s, n in filling:
+            placed[s] += n * times
+    assert placed == counts and peak < 30e6
+
+
 def test_fillings_are_all_undominated_ones():
     random.seed(9)
     for _ in range(200):
