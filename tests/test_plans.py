@@ -3,6 +3,7 @@ import math
 import pytest
 
 from ledgerloom import plans
+from ledgerloom.catalog.standins import CreditTables
 
 
 @pytest.fixture(scope="module")
@@ -82,3 +83,16 @@ def test_score_uses_and_binds_tighter_than_xor(spark):
     row = plans.credit_status_score(months).first()
     assert row["NEW_STATUS_SCORE"] == 1 + 2 ^ 2 + 1 ^ 3 + 0 ^ 4 + 1 ^ 5
     assert row["STATUS_0_MEAN"] == pytest.approx(1 / 8)
+
+
+@pytest.mark.parametrize("recipe", ["base", "drop_first", "regrouped"])
+def test_earlier_applications_go_to_their_applicants_before_the_wide_aggregate(spark, recipe):
+    t = CreditTables(spark, "/root/testdata/sf0.001")
+    earlier = t["previous_application"]
+    if recipe == "regrouped":
+        paid, pos = plans.instalments_per_loan(t["installments_payments"]), plans.pos_per_loan(t["POS_CASH_balance"])
+        out = plans.previous_regrouped(earlier, paid, pos)
+    else:
+        out = {"base": plans.previous_base, "drop_first": plans.previous_drop_first}[recipe](earlier)
+    assert "RepartitionByExpression [SK_ID_CURR" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert out.count() == earlier.select("SK_ID_CURR").where("SK_ID_CURR IS NOT NULL").distinct().count()
