@@ -8,7 +8,7 @@ match nothing, are dealt over salts as well.  The rows are read once.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -61,22 +61,25 @@ def lookup_join(
     return joined.select(*[col(c) for c in out])
 
 
-def dealt(rows: DataFrame, keys: Sequence[str], counted: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``rows`` with those of a key in one task, but the rows of the largest keys dealt over salts.
+def hot_salts(counted: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> dict[int, int]:
+    """Key hash to salts of the keys with more than ``hot_rows`` rows in ``counted``, the largest ``SALTED_KEYS`` of them."""
+    counts = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias(_COUNT))
+    each = F.least(F.ceil(col(_COUNT) / max(hot_rows, 1)), F.lit(SALTS)).cast("int")
+    largest = counts.where(col(_COUNT) > hot_rows).orderBy(F.desc(_COUNT), *[col(k) for k in keys]).limit(SALTED_KEYS)
+    return {r["key"]: r["salts"] for r in largest.select(F.xxhash64(*[col(k) for k in keys]).alias("key"), each.alias("salts")).collect()}
+
+
+def dealt(rows: DataFrame, keys: Sequence[str], hot: Mapping[int, int]) -> DataFrame:
+    """``rows`` with those of a key in one task, but the rows of ``hot`` keys (see ``hot_salts``) dealt over salts.
 
     For aggregates wider than the rows: after it no task holds buffers of keys that
-    others hold too, and rows move instead of buffers.  Keys are counted first, in
-    ``counted`` where that is cheaper to read and has no fewer rows per key.  With no
-    key above ``hot_rows`` aggregating by ``keys`` moves nothing more; otherwise
-    it adds up what the tasks of a hot key have combined.
+    others hold too, and rows move instead of buffers.  Without hot keys aggregating by
+    ``keys`` moves nothing more; otherwise it adds up what the tasks of a hot key have
+    combined.
     """
-    counts = (rows if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias(_COUNT))
-    key = F.xxhash64(*[col(k) for k in keys])
-    each = F.least(F.ceil(col(_COUNT) / max(hot_rows, 1)), F.lit(SALTS)).cast("int")
-    largest = counts.where(col(_COUNT) > hot_rows).orderBy(F.desc(_COUNT), *[col(k) for k in keys]).limit(SALTED_KEYS)
-    hot = {r["key"]: r["salts"] for r in largest.select(key.alias("key"), each.alias("salts")).collect()}
     if not hot:
         return rows.repartition(*[col(k) for k in keys])
+    key = F.xxhash64(*[col(k) for k in keys])
     salts = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for item in hot.items() for x in item]), key), F.lit(1))
     spread = F.xxhash64(*[col(f.name) for f in rows.schema.fields if "map<" not in f.dataType.simpleString()])
     salt = F.when(salts > 1, F.pmod(spread, salts)).otherwise(0)

@@ -75,6 +75,8 @@ def instalment_base(instalments: DataFrame, on_zero: str = "null") -> DataFrame:
         fixed.INSTALMENT_BASE,
         "INSTAL_",
         extra={"INSTAL_NEW_COUNT": F.count(F.lit(1))},
+        deal=True,
+        counted=instalments,
     )
 
 

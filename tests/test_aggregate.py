@@ -139,3 +139,14 @@ def test_wide_recipes_move_rows_not_buffers(spark, sf_dir, name):
     # The last aggregate follows its own partial form without an exchange between them.
     lines = [line for line in plan.splitlines() if "HashAggregate" in line or "Exchange" in line]
     assert all("HashAggregate" in line for line in lines[:2])
+
+
+@pytest.mark.parametrize("name", ["instalment_base"])
+def test_distinct_counts_over_few_rows_move_rows_not_buffers(spark, sf_dir, name):
+    from ledgerloom import plans
+    from ledgerloom.catalog.standins import CreditTables
+
+    plan = getattr(plans, name)(CreditTables(spark, sf_dir)["installments_payments"])._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+    lines = [line for line in plan.splitlines() if "HashAggregate" in line or "Exchange" in line]
+    assert all("HashAggregate" in line for line in lines[:4])
