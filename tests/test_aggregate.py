@@ -150,3 +150,41 @@ def test_distinct_counts_over_few_rows_move_rows_not_buffers(spark, sf_dir, name
     assert "REPARTITION_BY_COL" in plan
     lines = [line for line in plan.splitlines() if "HashAggregate" in line or "Exchange" in line]
     assert all("HashAggregate" in line for line in lines[:4])
+
+
+_WIDE_RECIPES = {
+    "bureau_base": ("bureau", "bureau_balance"),
+    "bureau_score": ("bureau", "bureau_balance"),
+    "bureau_skew": ("bureau", "bureau_balance"),
+    "bureau_ratios": ("bureau", "bureau_balance"),
+    "card_base": ("credit_card_balance",),
+    "card_nulled": ("credit_card_balance",),
+}
+
+
+@pytest.mark.parametrize("name", sorted(_WIDE_RECIPES))
+def test_one_level_wide_recipes_move_rows_not_buffers(spark, sf_dir, name):
+    from ledgerloom import plans
+    from ledgerloom.catalog.standins import CreditTables
+
+    t = CreditTables(spark, sf_dir)
+    plan = getattr(plans, name)(*[t[n] for n in _WIDE_RECIPES[name]])._jdf.queryExecution().executedPlan().toString()
+    # The joins of the wide tables follow in the tasks of the credits, which are not merged.
+    assert ("REPARTITION_BY_NUM" if name.startswith("bureau") else "REPARTITION_BY_COL") in plan
+    lines = [line for line in plan.splitlines() if "HashAggregate" in line or "Exchange" in line]
+    assert all("HashAggregate" in line for line in lines[:2])
+
+
+@pytest.mark.parametrize("hot_rows", [5_000_000, 3])
+def test_medians_of_dealt_rows_need_no_order_over_all_rows(groups, monkeypatch, hot_rows):
+    from ledgerloom.operators import aggregate
+
+    spec, subsets = {"v": ["median", "mean"]}, [O.Subset("X_", F.col("c") == "x", {"v": ["median"]})]
+    plain = sorted(map(tuple, O.summarize(groups, ["k"], spec, subsets=subsets).collect()))
+    ordered = []
+    quantiles = aggregate.group_quantiles
+    monkeypatch.setattr(aggregate, "group_quantiles", lambda long, *a: ordered.append({r["k"] for r in long.collect()}) or quantiles(long, *a))
+    dealt = O.summarize(groups, ["k"], spec, subsets=subsets, deal=True, hot_rows=hot_rows)
+    assert sorted(map(tuple, dealt.collect())) == plain
+    # Only keys above the bound go by order over many tasks.
+    assert ordered == ([] if hot_rows > 3 else [{"a", "d"}])
