@@ -135,3 +135,31 @@ def test_selection_tables(spark, rows, matrix):
     tests = {r["column"]: r["p_value"] for r in learn.categorical_dependence(text, ["high", "same"], "y").collect()}
     assert tests["high"] < 1e-6 and tests["same"] > 0.9
     assert learn.combine_selection(["a", "b"], ["b"], ["c", "a"]) == ["a", "c"]
+
+
+def test_folds_train_side_by_side_and_equal_those_trained_apart(matrix, monkeypatch):
+    import threading
+
+    from ledgerloom.learn import kfold
+
+    inside, most, gate, fit = [], [], threading.Lock(), kfold.boosted_model
+
+    def watched(*args):
+        with gate:
+            inside.append(1)
+            most.append(len(inside))
+        try:
+            return fit(*args)
+        finally:
+            with gate:
+                inside.pop()
+
+    monkeypatch.setattr(kfold, "boosted_model", watched)
+    together = learn.train_kfold(matrix, SETTINGS, k=3)
+    assert max(most) > 1
+    most.clear()
+    monkeypatch.setattr(kfold, "TOGETHER_BYTES", 1)
+    apart = learn.train_kfold(matrix, SETTINGS, k=3)
+    assert max(most) == 1
+    assert sorted(together.folds.collect()) == sorted(apart.folds.collect())
+    assert sorted(together.out_of_fold.collect()) == sorted(apart.out_of_fold.collect())
