@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.stat import ChiSquareTest
@@ -20,14 +21,20 @@ CORRELATION_LIMIT = 0.75
 
 
 def tree_importances(matrix: FeatureMatrix, settings: BoostSettings | None = None, trees: int = 20) -> DataFrame:
-    """Importance of each feature in several tree models: ``model, feature, importance``."""
-    rows = matrix.labelled()
+    """Importance of each feature in several tree models: ``model, feature, importance``.
+
+    Each model reads the assembled rows several times before it keeps its own, so they are kept until all are fitted.
+    """
+    rows = matrix.labelled().persist(StorageLevel.MEMORY_AND_DISK)
     common = {"featuresCol": "features", "labelCol": matrix.label, "seed": SEED}
-    fitted = {
-        "boosted": boosted_model(rows, matrix.label, settings or BoostSettings()),
-        "forest": RandomForestClassifier(numTrees=trees, **common).fit(rows),
-        "tree": DecisionTreeClassifier(**common).fit(rows),
-    }
+    try:
+        fitted = {
+            "boosted": boosted_model(rows, matrix.label, settings or BoostSettings()),
+            "forest": RandomForestClassifier(numTrees=trees, **common).fit(rows),
+            "tree": DecisionTreeClassifier(**common).fit(rows),
+        }
+    finally:
+        rows.unpersist()
     table = [
         (name, feature, float(value))
         for name, model in fitted.items()
@@ -96,11 +103,14 @@ def select_features(
     importance: DataFrame,
     threshold: float = CORRELATION_LIMIT,
     level: float = 0.05,
+    category_rows: DataFrame | None = None,
 ) -> DataFrame:
     """``feature, origin``: what trees want and correlation keeps, then categories that depend on the label.
 
     ``importance`` holds ``feature, mean``.  Of each group of correlated numeric columns
-    the most important stays; features without importance go.
+    the most important stays; features without importance go.  ``df`` is read several times,
+    so it should be stored where its columns are dear to compute; ``category_rows`` holds the
+    label and the categories where ``df`` does not.
     """
     numeric = list(numeric)
     weight = {r["feature"]: r["mean"] for r in importance.collect()}  # a row per feature
@@ -109,7 +119,8 @@ def select_features(
     wanted = [f for f in sorted(weight, key=lambda f: (-weight[f], f)) if weight[f] > 0]
     dependent = []
     if categories:
-        tests = categorical_dependence(df, list(categories), label).where(F.col("p_value") <= level)
+        tested = df if category_rows is None else category_rows
+        tests = categorical_dependence(tested, list(categories), label).where(F.col("p_value") <= level)
         dependent = [r["column"] for r in tests.orderBy("p_value", "column").collect()]
     chosen = combine_selection(wanted, [c for c in numeric if c not in kept], dependent)
     rows = [(f, "trees" if f in wanted else "dependence") for f in chosen]

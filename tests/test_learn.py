@@ -137,6 +137,35 @@ def test_selection_tables(spark, rows, matrix):
     assert learn.combine_selection(["a", "b"], ["b"], ["c", "a"]) == ["a", "c"]
 
 
+def test_feature_selection_reads_each_text_once(spark, sf_dir, monkeypatch):
+    from ledgerloom.catalog import learning
+
+    read, load = spark.sparkContext.accumulator(0), learning.load
+
+    @F.udf("string")
+    def watched(text):
+        read.add(1)
+        return text
+
+    def watching(session, folder, name):
+        df = load(session, folder, name)
+        return df.withColumn("text", watched("text")) if name == "documents" else df
+
+    monkeypatch.setattr(learning, "load", watching)
+    chosen = {r["feature"]: r["origin"] for r in learning.select_features(spark, sf_dir).collect()}
+    assert "trees" in chosen.values()
+    assert read.value == load(spark, sf_dir, "documents").count()
+
+
+def test_selection_takes_categories_from_other_rows(spark, rows):
+    importance = spark.createDataFrame([("a", 0.9), ("b", 0.1)], "feature string, mean double")
+    high = F.when(F.col("a") > 60, "yes").otherwise("no")
+    whole = learn.select_features(rows.withColumn("high", high), "y", ["a", "b"], ["high"], importance)
+    apart = learn.select_features(rows, "y", ["a", "b"], ["high"], importance, category_rows=rows.select("y", high.alias("high")))
+    assert apart.collect() == whole.collect()
+    assert ("high", "dependence") in [tuple(r) for r in whole.collect()]
+
+
 def test_folds_train_side_by_side_and_equal_those_trained_apart(matrix, monkeypatch):
     import threading
 
