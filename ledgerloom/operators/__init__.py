@@ -9,7 +9,7 @@ from .aggregate import (
     percent_below,
     summarize,
 )
-from .colocate import bucketed, star, together
+from .colocate import bucketed, drop_bucketed, star, together
 from .encode import (
     category_lists,
     category_share_rows,

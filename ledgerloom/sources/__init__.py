@@ -1,5 +1,5 @@
 from .readers import jdbc_options, read_csv, read_jdbc, row_cap, sample_rows
-from .shared import checkpoint, scratch_path
+from .shared import checkpoint, drop_scratch, free_files, scratch_path
 from .sinks import (
     load_params,
     read_snapshot,
@@ -10,6 +10,8 @@ from .sinks import (
 
 __all__ = [
     "checkpoint",
+    "drop_scratch",
+    "free_files",
     "jdbc_options",
     "load_params",
     "read_csv",

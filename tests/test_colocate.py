@@ -1,10 +1,17 @@
+import glob
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import operators as O
 from ledgerloom import plans
+from ledgerloom.catalog import basics
 from ledgerloom.catalog.standins import CreditTables
+from ledgerloom.operators import colocate
 from ledgerloom.operators.encode import learn_values
+from ledgerloom.sources import drop_scratch, scratch_path, write_snapshot
+from ledgerloom.sources.shared import shared_folder
 
 
 def plan(df):
@@ -39,6 +46,106 @@ def test_bucketed_tables_keep_rows_empty_tables_and_odd_names(spark, frames):
     assert empty.columns == parent.columns and empty.count() == 0
 
 
+def shuffles(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+    names = [blocks.apply(i).name() for i in range(blocks.size())]
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_bucketed_star_stores_and_lets_go_of_a_table_before_the_next_is_planned(spark, frames, monkeypatch):
+    parent, one, two = frames
+    steps, left, before = [], [], shuffles(spark)
+    store = colocate.bucketed
+    monkeypatch.setattr(colocate, "bucketed", lambda df, *a, **k: steps.append(("stored", df.columns[-1])) or store(df, *a, **k))
+
+    def planned(df):
+        until = time.time() + 20  # Spark's cleaner works in a thread of its own
+        while shuffles(spark) - before and time.time() < until:
+            time.sleep(0.1)
+        left.append(shuffles(spark) - before)
+        steps.append(("planned", df.columns[-1]))
+        return df
+
+    O.star("k", *[lambda df=df: planned(df) for df in frames], buckets=3)
+    assert steps == [(what, c) for c in ("p", "s", "n") for what in ("planned", "stored")]
+    assert left == [set()] * 3
+
+
+def test_bucketed_tables_are_dropped_with_their_files(spark, frames):
+    parent, one, two = frames
+    kept = O.bucketed(two, "k", 3)
+    wide = O.star("k", lambda: parent, lambda: one, buckets=3)
+    files = [f.removeprefix("file:") for f in wide.inputFiles()]
+    tables = {t.name for t in spark.catalog.listTables()}
+    O.drop_bucketed(wide)
+    assert files and not any(glob.glob(f) for f in files)
+    assert len(tables - {t.name for t in spark.catalog.listTables()}) == 2
+    assert sorted(kept.collect()) == sorted(two.collect())
+
+
+def test_only_scratch_is_dropped(spark, frames):
+    path = scratch_path(spark, "some")
+    write_snapshot(frames[0], path)
+    with pytest.raises(ValueError, match="not a scratch path"):
+        drop_scratch(spark, path + "/part")
+    assert glob.glob(path.removeprefix("file:"))
+    drop_scratch(spark, path)
+    assert not glob.glob(path.removeprefix("file:"))
+
+
+def small_wide(spark, asked):
+    rows = spark.range(80).selectExpr(
+        "id AS SK_ID_CURR", "CASE WHEN id % 5 > 0 THEN CAST(id % 2 AS DOUBLE) END AS TARGET", "CAST(id % 7 AS DOUBLE) AS a", "id % 2 + id % 3 AS b"
+    )
+    more = rows.groupBy("SK_ID_CURR").agg(F.max("b").alias("c"), F.sum(F.col("a") * F.col("a")).alias("d"))
+
+    def wide_rare(t, categories=None, buckets=None):
+        asked.append(buckets)
+        return O.star("SK_ID_CURR", lambda: rows, lambda: more, buckets=buckets)
+
+    return wide_rare
+
+
+def left_over(spark, label):
+    return glob.glob(f"{shared_folder(spark).removeprefix('file:')}/scratch/{label}-*")
+
+
+def test_wide_snapshot_is_made_of_stored_tables_and_leaves_none(spark, sf_dir, monkeypatch):
+    asked, tables, folders = [], spark.catalog.listTables(), left_over(spark, "bucketed")
+    monkeypatch.setattr(plans, "wide_rare", small_wide(spark, asked))
+    got = basics.pipe_prune(spark, sf_dir)
+    assert got.columns == ["SK_ID_CURR", "TARGET", "a", "b"] and got.count() == 80
+    assert asked == [4]
+    assert spark.catalog.listTables() == tables and left_over(spark, "bucketed") == folders
+
+
+def test_filling_leaves_the_key_as_the_rows_are_dealt(spark, frames):
+    _, one, two = frames
+    odd = one.join(two, "k", "left").withColumnRenamed("n", "a.b")
+    assert sorted(O.fill_zero(odd, keep=["k"]).collect()) == sorted(O.fill_zero(odd).collect())
+    assert O.fill_zero(spark.createDataFrame([(None, None)], "k int, v int"), keep=["k"]).collect() == [(None, 0)]
+    bare, filled = one.join(two.hint("merge"), "k"), O.fill_zero(one, keep=["k"]).join(two.hint("merge"), "k")
+    assert plan(filled).count("Exchange") == plan(bare).count("Exchange")
+
+
+def test_filled_credits_are_not_moved_again(spark, sf_dir):
+    t = CreditTables(spark, sf_dir)
+    filled = plans.bureau_filled(t["bureau"], t["bureau_balance"])
+    both = plans.bureau_filled_with_behaviour(t["bureau"], t["bureau_balance"])
+    behaviour = plans.bureau_behaviour(t["bureau"])
+    exchanges = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for df in (filled, behaviour, both)]
+    # One more, for the behaviour, which is joined on another column before.
+    assert exchanges[2] <= exchanges[0] + exchanges[1] + 1
+
+
+def test_settled_balances_give_the_same_rows(spark, sf_dir):
+    t = CreditTables(spark, sf_dir)
+    both = t["installments_payments"], t["POS_CASH_balance"]
+    plain, settled = (plans.instalments_with_pos(*both, settle=s) for s in (False, True))
+    assert settled.columns == plain.columns
+    assert settled.exceptAll(plain).isEmpty() and plain.count() == settled.count()
+
+
 def test_wide_table_joins_without_exchange(spark, sf_dir):
     wide = plans.wide_base(CreditTables(spark, sf_dir), buckets=4)
     text = wide._jdf.queryExecution().executedPlan().toString()
