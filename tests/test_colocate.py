@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import operators as O
 from ledgerloom import plans
-from ledgerloom.catalog import basics
+from ledgerloom.catalog import basics, learning
 from ledgerloom.catalog.standins import CreditTables
 from ledgerloom.operators import colocate
 from ledgerloom.operators.encode import learn_values
@@ -119,6 +119,14 @@ def test_wide_snapshot_is_made_of_stored_tables_and_leaves_none(spark, sf_dir, m
     assert spark.catalog.listTables() == tables and left_over(spark, "bucketed") == folders
 
 
+def test_training_keeps_the_pruned_table_only(spark, sf_dir, monkeypatch):
+    wide, pruned = left_over(spark, "wide"), left_over(spark, "pruned")
+    monkeypatch.setattr(plans, "wide_rare", small_wide(spark, []))
+    scored = learning.pipe_train(spark, sf_dir)
+    assert left_over(spark, "wide") == wide and len(left_over(spark, "pruned")) == len(pruned) + 1
+    assert sorted(r["SK_ID_CURR"] for r in scored.collect()) == list(range(0, 80, 5))
+
+
 def test_filling_leaves_the_key_as_the_rows_are_dealt(spark, frames):
     _, one, two = frames
     odd = one.join(two, "k", "left").withColumnRenamed("n", "a.b")
