@@ -138,10 +138,15 @@ def test_filling_leaves_the_key_as_the_rows_are_dealt(spark, frames):
 
 def test_filled_credits_are_not_moved_again(spark, sf_dir):
     t = CreditTables(spark, sf_dir)
-    filled = plans.bureau_filled(t["bureau"], t["bureau_balance"])
-    both = plans.bureau_filled_with_behaviour(t["bureau"], t["bureau_balance"])
-    behaviour = plans.bureau_behaviour(t["bureau"])
-    exchanges = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for df in (filled, behaviour, both)]
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        filled = plans.bureau_filled(t["bureau"], t["bureau_balance"])
+        both = plans.bureau_filled_with_behaviour(t["bureau"], t["bureau_balance"])
+        behaviour = plans.bureau_behaviour(t["bureau"])
+        exchanges = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for df in (filled, behaviour, both)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
     # One more, for the behaviour, which is joined on another column before.
     assert exchanges[2] <= exchanges[0] + exchanges[1] + 1
 
